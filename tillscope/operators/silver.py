@@ -116,7 +116,8 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects
         F.count_if(~F.col("is_valid")).alias("rejected"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        (silver_valid(flagged).write.format(fmt).mode("overwrite")
+        (silver_valid(flagged).hint("rebalance", *S.SILVER_PARTITION_COLUMNS)
+         .write.format(fmt).mode("overwrite")
          .partitionBy(*S.SILVER_PARTITION_COLUMNS).save(silver_path))
         silver_rejects(flagged).write.format(fmt).mode("overwrite").save(rejects_path)
         got_in, got = seen.get, counts.get

@@ -107,7 +107,11 @@ BRONZE_SCHEMA = StructType(
     ]
 )
 BRONZE_COLUMNS = [f.name for f in BRONZE_SCHEMA.fields]
+# the audited stream sink's layout: event date, then store
 BRONZE_PARTITION_COLUMNS = ["year", "month", "day", "store_id"]
+# date-only layout (stores clustered inside files): far fewer folders when
+# a batch spans many days with few rows per store and day
+BRONZE_DATE_PARTITION_COLUMNS = ["year", "month", "day"]
 
 SILVER_COLUMNS = BRONZE_COLUMNS + ["silver_processed_at"]
 SILVER_PARTITION_COLUMNS = ["year", "month", "day"]

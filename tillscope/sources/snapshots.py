@@ -39,8 +39,16 @@ class SnapshotSchemaError(ValueError):
     pass
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _commits(spark: SparkSession, path: str) -> list:
     """Commit rows (one per version; table metadata, not data)."""
+    if not _exists(spark, f"{path}/_history"):
+        return []
     try:
         hist = spark.read.schema(HISTORY_SCHEMA + ", v int").option("basePath", f"{path}/_history") \
             .parquet(f"{path}/_history")
@@ -74,7 +82,10 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "append",
     else:
         base = version
     obs = Observation(f"snapshot_v{version}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    if parts:
+        observed = observed.hint("rebalance", *parts)
+    writer = observed.write.mode("errorifexists")
     if parts:
         writer = writer.partitionBy(*parts)
     writer.parquet(f"{path}/data/version={version}")
