@@ -25,7 +25,7 @@ from tillscope.session import scratch_path
 from tillscope.sources.bronze import read_bronze, write_bronze_batch
 from tillscope.sources.csv_export import export_csv, read_csv_export
 from tillscope.sources.messages import decode_messages, encode_messages
-from tillscope.sources.posview import POS_TIEBREAK, pos_view, read_table
+from tillscope.sources.posview import POS_TIEBREAK, pos_view, read_table, with_parallelism_floor
 from tillscope.sources.snapshots import read_snapshot, snapshot_history, write_snapshot
 from tillscope.streaming.ingest import admit, enrich, file_message_source, ingest, start_ingest
 
@@ -78,7 +78,7 @@ def _no_clock(df: DataFrame) -> DataFrame:
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     """POS rows encoded as keyed messages, plus the event stream's JSON as foreign messages."""
     pos = encode_messages(_bronze(spark, d))
-    events = read_table(spark, d, "events").select(
+    events = with_parallelism_floor(read_table(spark, d, "events")).select(
         F.lit(None).cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),

@@ -19,15 +19,16 @@ _OPTIONS = {
     "timestampFormat": TIMESTAMP_FORMAT,
     "timestampNTZFormat": TIMESTAMP_FORMAT,
     "nullValue": NULL_TOKEN,
-    "emptyValue": "",
     "escape": '"',
 }
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Write with a header; the empty string is written quoted, NULL as the null token."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).options(**_OPTIONS).csv(path)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**_OPTIONS).option("mode", "FAILFAST").csv(path)
+    return (spark.read.schema(schema).options(**_OPTIONS).option("emptyValue", "")
+            .option("mode", "FAILFAST").csv(path))

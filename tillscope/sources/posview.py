@@ -44,6 +44,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_parallelism_floor(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A single-row-group file scans as one task, and everything up to the
+    first shuffle (broadcast joins, projections, JSON) would run there.
+    Only then is a round-robin exchange added; a large multi-file scan
+    already has enough splits and is left alone (no extra shuffle).
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def _payment_method(priority: F.Column) -> F.Column:
     (p0, m0), *rest = PRIORITY_TO_PAYMENT
     chain = F.when(priority == p0, F.lit(m0))
@@ -54,9 +69,9 @@ def _payment_method(priority: F.Column) -> F.Column:
 
 def pos_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped POS rows (``BRONZE_COLUMNS`` + ``POS_TIEBREAK``)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = with_parallelism_floor(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_shipdate")
+        "l_returnflag", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderpriority")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
