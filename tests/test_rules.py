@@ -77,11 +77,12 @@ def test_dedup_plan_limits_before_shuffle(spark):
 
 
 def test_money_rounding_half_away_from_zero(spark):
-    df = spark.createDataFrame([(2345000, 1000), (-23450, 1), (50, 1), (-50, 1), (0, 0)], "s long, n long")
+    # units of 0.0001: 23,450,000 over 1,000 rows is 2.345 -> 2.35 (half away from zero)
+    df = spark.createDataFrame([(23450000, 1000), (-23450, 1), (50, 1), (-50, 1), (0, 0)], "s long, n long")
     out = df.select(avg_units_to_cents(F.col("s"), F.col("n")).alias("avg"),
                     round_units_to_cents(F.col("s")).alias("r")).collect()
-    assert [o.avg for o in out] == [23.45, -2.35, 0.01, -0.01, None]
-    assert [o.r for o in out] == [234.5, -2.35, 0.01, -0.01, 0.0]
+    assert [o.avg for o in out] == [2.35, -2.35, 0.01, -0.01, None]
+    assert [o.r for o in out] == [2345.0, -2.35, 0.01, -0.01, 0.0]
     pct = spark.createDataFrame([(1, 8), (1, 3), (2, 3)], "c long, t long").select(
         pct_of_total(F.col("c"), F.col("t")).alias("p")).collect()
     assert [p.p for p in pct] == [12.5, 33.33, 66.67]
