@@ -59,6 +59,13 @@ def with_parallelism_floor(df: DataFrame) -> DataFrame:
     return df
 
 
+def _pad_no_truncate(n: F.Column, width: int) -> F.Column:
+    """Zero-pad to ``width`` digits without cutting longer numbers (``lpad`` alone
+    would truncate, so product ids past 99,999 parts would collide)."""
+    s = n.cast("string")
+    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+
+
 def _payment_method(priority: F.Column) -> F.Column:
     (p0, m0), *rest = PRIORITY_TO_PAYMENT
     chain = F.when(priority == p0, F.lit(m0))
@@ -107,8 +114,7 @@ def pos_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         store_id.alias("store_id"),
         F.concat(F.lit("POS-"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")).alias("terminal_id"),
         F.concat(F.lit("EMP-"), (F.lit(CASHIER_BASE) + F.col("l_suppkey") % CASHIER_COUNT).cast("string")).alias("cashier_id"),
-        # %05d pads without truncating, so product ids stay unique past 99,999 parts
-        F.format_string("PROD-%05d", F.col("l_partkey")).alias("product_id"),
+        F.concat(F.lit("PROD-"), _pad_no_truncate(F.col("l_partkey"), 5)).alias("product_id"),
         q.alias("quantity"),
         price.cast("double").alias("unit_price"),
         total.cast("double").alias("total_amount"),
