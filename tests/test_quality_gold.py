@@ -81,3 +81,19 @@ def test_csv_roundtrip_exact(spark, scratch):
     export_csv(df, scratch)
     back = read_csv_export(spark, scratch, df.schema).collect()
     assert back == df.collect()
+
+
+def test_reports_and_publish(spark, scratch):
+    from tillscope.operators.profile import bronze_profile_report, silver_check_report
+    from tillscope.sources.messages import publish_messages
+    from tillscope.sources.posview import pos_view
+    from tests.conftest import SF_SMALL
+
+    bronze = pos_view(spark, SF_SMALL)
+    rep = bronze_profile_report(bronze)
+    assert set(rep) == {"null_check", "audit_flag_distribution", "payment_method_distribution",
+                        "top_stores_by_revenue", "sample"}
+    assert rep["top_stores_by_revenue"].count() == 10 and rep["sample"].count() == 5
+    assert silver_check_report(bronze.limit(0)) == {}
+    publish_messages(bronze.select(*S.MESSAGE_FIELDS, "kafka_received_at"), fmt="parquet", path=scratch)
+    assert spark.read.parquet(scratch).count() == 6000

@@ -89,3 +89,29 @@ def sample(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
 BRONZE_SAMPLE_COLUMNS = ["transaction_id", "store_id", "product_id", "quantity", "unit_price",
                          "total_amount", "payment_method", "audit_flag"]
 SILVER_SAMPLE_COLUMNS = ["transaction_id", "store_id", "total_amount", "audit_flag", "data_layer"]
+
+
+def bronze_profile_report(bronze: DataFrame) -> dict[str, DataFrame]:
+    """The Bronze verification report as DataFrames (empty dict for an empty table)."""
+    if bronze.isEmpty():
+        return {}
+    return {
+        "null_check": profile_nulls(bronze),
+        "audit_flag_distribution": distribution(bronze, "audit_flag"),
+        "payment_method_distribution": distribution(bronze, "payment_method"),
+        "top_stores_by_revenue": top_stores_by_revenue(bronze),
+        "sample": sample(bronze, BRONZE_SAMPLE_COLUMNS),
+    }
+
+
+def silver_check_report(silver: DataFrame) -> dict[str, DataFrame]:
+    """The Silver verification report as DataFrames (empty dict for an empty table)."""
+    if silver.isEmpty():
+        return {}
+    return {
+        "duplicates": check_duplicates(silver),
+        "total_mismatches": check_total_mismatch(silver),
+        "negative_amounts": check_negative(silver),
+        "audit_flag_distribution": distribution(silver, "audit_flag"),
+        "sample": sample(silver, SILVER_SAMPLE_COLUMNS),
+    }

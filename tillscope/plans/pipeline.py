@@ -35,6 +35,11 @@ def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
     return spark.read.parquet(silver_path).select(*S.SILVER_COLUMNS)
 
 
+def validate_silver(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The eight-rule suite over a written Silver table (one aggregate job)."""
+    return run_suite(read_silver(spark, silver_path), silver_suite())
+
+
 def _write_counted(df: DataFrame, path: str, name: str) -> int:
     obs = Observation(name)
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)

@@ -46,3 +46,19 @@ def decode_messages(raw: DataFrame, with_key: bool = False) -> DataFrame:
     fields = [F.col(f"data.{n}").alias(n) for n in S.MESSAGE_FIELDS]
     return raw.select(*key, data.alias("data"), F.col("timestamp").alias("kafka_received_at")).select(
         *(["message_key"] if with_key else []), *fields, "kafka_received_at")
+
+
+def publish_messages(df: DataFrame, fmt: str = "kafka", topic: str | None = None,
+                     bootstrap_servers: str | None = None, path: str | None = None,
+                     mode: str = "append") -> None:
+    """Write encoded messages: to a broker topic (``fmt="kafka"``, connector needed) or as files.
+
+    Per-store ordering comes from the key: the broker routes one key to one
+    partition.  No driver-side send loop; every executor writes its part.
+    """
+    msgs = encode_messages(df).select("key", "value")
+    if fmt == "kafka":
+        (msgs.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("topic", topic).save())
+    else:
+        encode_messages(df).write.mode(mode).format(fmt).save(path)
