@@ -32,6 +32,19 @@ def relationships_failures(child: DataFrame, column: str, parent: DataFrame, par
             .join(keys, F.col(column) == F.col("__parent_key"), "left_anti"))
 
 
+def relationships_failure_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One row (``_f``): child rows whose non-null key has no parent.
+
+    Child keys are counted first (partial aggregate), so a key holding a
+    third of the child rows enters the anti join as one row.
+    """
+    keys = (child.filter(F.col(column).isNotNull()).groupBy(column)
+            .agg(F.count(F.lit(1)).alias("__n")))
+    parents = parent.select(F.col(parent_column).alias("__parent_key")).filter(F.col("__parent_key").isNotNull())
+    missing = keys.join(parents, F.col(column) == F.col("__parent_key"), "left_anti")
+    return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("_f"))
+
+
 @dataclass(frozen=True)
 class ModelTest:
     test: str            # unique | not_null | relationships
@@ -93,7 +106,7 @@ def model_test_report(models: dict[str, DataFrame], tests: Sequence[ModelTest] |
             if t.test == "unique":
                 fails = unique_failures(df, t.column).agg(F.count(F.lit(1)).alias("_f"))
             elif t.test == "relationships":
-                fails = relationships_failures(df, t.column, models[t.to_model], t.to_column).agg(F.count(F.lit(1)).alias("_f"))
+                fails = relationships_failure_count(df, t.column, models[t.to_model], t.to_column)
             else:
                 continue
             parts.append(fails.select(_row(t, F.col("_f")).alias("r")).select("r.*"))

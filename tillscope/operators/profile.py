@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope import schema as S
@@ -29,12 +29,12 @@ def profile_nulls(df: DataFrame, columns: Sequence[str] = ("transaction_id", "st
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Value frequency with its share of all rows (2 decimals), most frequent first.
 
-    NULL is its own group.  The share needs the grand total: a window over
-    the *aggregated* frame, whose size is the column's cardinality, not
-    the row count.
+    NULL is its own group.  The grand total is a scalar subquery over the
+    aggregated counts (its exchange is reused), so the groups are never
+    funnelled into one partition and no join is needed.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    total = counts.agg(F.sum("count")).scalar()
     return counts.select(
         column,
         F.col("count").cast("bigint").alias("count"),

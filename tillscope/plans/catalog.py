@@ -109,7 +109,7 @@ def q_bronze_stream_roundtrip(spark, d):
     _messages(spark, d).repartition(4).write.parquet(f"{root}/topic")
     src = file_message_source(spark, f"{root}/topic", max_files_per_trigger=2)
     q = start_ingest(src, f"{root}/bronze", f"{root}/_checkpoint", trigger={"availableNow": True},
-                     partition_by=S.BRONZE_DATE_PARTITION_COLUMNS, cluster_by_partition=True)
+                     partition_by=S.BRONZE_DATE_PARTITION_COLUMNS, cluster_by_partition=1)
     q.awaitTermination()
     return read_bronze(spark, f"{root}/bronze").drop("ingested_at")
 

@@ -88,20 +88,26 @@ def ingest(raw: DataFrame, clock: _dt.datetime | Column | None = None) -> DataFr
 def start_ingest(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str,
                  trigger: dict | None = None,
                  partition_by: list[str] | None = None,
-                 cluster_by_partition: bool = False,
+                 cluster_by_partition: int = 0,
                  query_name: str | None = None) -> StreamingQuery:
     """Start the append-only Bronze sink.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default: every
     30 seconds; ``{"availableNow": True}`` drains and stops).  With
-    ``cluster_by_partition`` each micro-batch is hash-partitioned on the
-    partition columns first, so every Bronze folder receives one file per
-    batch instead of one per task.
+    ``cluster_by_partition=k`` each micro-batch is hash-partitioned on the
+    partition columns plus a salt of ``k`` buckets, so a Bronze folder gets
+    at most ``k`` files per batch instead of one per task, and a hot store
+    or day is still spread over ``k`` tasks.  The salt hashes the row's own
+    id and receive time, so a retried task sends each row to the same place.
+    A micro-batch is bounded by the per-trigger cap (records or files), so
+    ``k=1`` (one file per folder and batch) is safe with a capped source;
+    raise ``k`` for an uncapped backfill.
     """
     partition_by = partition_by or S.BRONZE_PARTITION_COLUMNS
     bronze = ingest(raw_stream)
     if cluster_by_partition:
-        bronze = bronze.repartition(*partition_by)
+        salt = F.pmod(F.xxhash64("transaction_id", "kafka_received_at"), F.lit(int(cluster_by_partition)))
+        bronze = bronze.repartition(*[F.col(c) for c in partition_by], salt)
     writer = (bronze.writeStream.format("parquet").outputMode("append")
               .option("path", bronze_path)
               .option("checkpointLocation", checkpoint_path)
