@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, TimestampType
 
 from tillscope import schema as S
 from tillscope.functions.contract import contract_defaults, contract_violations
@@ -45,6 +45,29 @@ def _doubles(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def comparable(df: DataFrame) -> DataFrame:
+    """Final projection of a registered query: money as DOUBLE, instants as wall-clock
+    TIMESTAMP_NTZ (the session zone converts in and out, so values match a naive
+    TIMESTAMP in any session zone and under any collection path)."""
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, DecimalType):
+            cols.append(F.col(f.name).cast("double").alias(f.name))
+        elif isinstance(f.dataType, TimestampType):
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def _registered(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(fn(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _bronze(spark: SparkSession, d: str) -> DataFrame:
     return pos_view(spark, d)
 
@@ -294,7 +317,7 @@ def q_pipeline_summary(spark, d):
                         clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK)
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     # sources, messages, ingest
     "encode_messages": q_encode_messages,
     "bronze_decode": q_bronze_decode,
@@ -350,3 +373,5 @@ QUERIES: dict[str, Query] = {
     # whole chain
     "pipeline_summary": q_pipeline_summary,
 }
+
+QUERIES: dict[str, Query] = {k: _registered(v) for k, v in _QUERIES.items()}
