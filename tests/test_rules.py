@@ -92,3 +92,31 @@ def test_decimal_boundary_one_cent(spark):
     flagged = silver_flagged(_bronze(spark, CASCADE_ROWS[5:6]), clock=T0)
     (row,) = flagged.collect()
     assert row.expected_total == Decimal("100.00") and row.rejection_reason is None
+
+
+def test_run_silver_scans_bronze_once(spark, scratch):
+    from tests.conftest import SF_SMALL
+    from tillscope.operators.silver import run_silver
+    from tillscope.sources.posview import POS_TIEBREAK, pos_view
+
+    pos_view(spark, SF_SMALL).write.parquet(f"{scratch}/bronze")
+    store = spark._jsparkSession.sharedState().statusStore()
+    first = store.executionsCount()
+    summary = run_silver(spark, spark.read.parquet(f"{scratch}/bronze"), f"{scratch}/silver",
+                         f"{scratch}/rejects", clock=T0, tiebreak=POS_TIEBREAK)
+    assert summary == {"bronze_read": 6000, "duplicates_removed": 1406, "valid": 4280, "rejected": 314}
+    execs = store.executionsList()
+    rows_read = []
+    for i in range(first, execs.size()):
+        eid = execs.apply(i).executionId()
+        nodes, values = store.planGraph(eid).allNodes(), store.executionMetrics(eid)
+        for j in range(nodes.size()):
+            node = nodes.apply(j)
+            if node.name().startswith("Scan parquet"):
+                metrics = node.metrics()
+                for k in range(metrics.size()):
+                    m = metrics.apply(k)
+                    v = values.get(m.accumulatorId())
+                    if m.name() == "number of output rows" and v.isDefined():
+                        rows_read.append(int(v.get().replace(",", "")))
+    assert sum(1 for r in rows_read if r > 0) == 1 and sum(rows_read) == 6000

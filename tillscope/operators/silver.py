@@ -3,9 +3,10 @@
 ``silver_flagged`` is the pure transformation (one frame with the
 rejection reason, validity and re-classified audit flag); ``silver_valid``
 and ``silver_rejects`` are the two projections of it, and ``run_silver``
-does the I/O: it evaluates the flagged frame once (persisted, counts
-collected by an ``Observation`` during the first write) and writes both
-outputs from that single Bronze scan.
+does the I/O: it scans Bronze once (the flagged frame is persisted while
+its class counts are taken, the input count comes from an
+``Observation`` on that same pass) and writes both outputs from the
+cache.  A lost executor's cached blocks are recomputed from lineage.
 """
 
 from __future__ import annotations
@@ -103,29 +104,29 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects
     rejected).  Empty input writes nothing, like the audited job.  Rejects
     is always overwritten, also when empty, so no stale rejects survive.
     """
-    if bronze.isEmpty():  # a limit-1 probe, not a full count
-        return {"bronze_read": 0, "duplicates_removed": 0, "valid": 0, "rejected": 0}
     clock = clock or _dt.datetime.now(_dt.timezone.utc)
     seen = Observation("bronze_in")
-    counts = Observation("silver_out")
     observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_read"))
-    flagged = silver_flagged(observed, clock=clock, tiebreak=tiebreak).observe(
-        counts,
-        F.count(F.lit(1)).alias("deduped"),
-        F.count_if(F.col("is_valid")).alias("valid"),
-        F.count_if(~F.col("is_valid")).alias("rejected"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = silver_flagged(observed, clock=clock, tiebreak=tiebreak).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # the one Bronze scan: materialise the flagged frame and count its classes
+        counts = flagged.agg(
+            F.count(F.lit(1)).alias("deduped"),
+            F.count_if(F.col("is_valid")).alias("valid"),
+            F.count_if(~F.col("is_valid")).alias("rejected"),
+        ).first()
+        read = int(seen.get["bronze_read"])
+        if read == 0:
+            return {"bronze_read": 0, "duplicates_removed": 0, "valid": 0, "rejected": 0}
         (silver_valid(flagged).hint("rebalance", *S.SILVER_PARTITION_COLUMNS)
          .write.format(fmt).mode("overwrite")
          .partitionBy(*S.SILVER_PARTITION_COLUMNS).save(silver_path))
         silver_rejects(flagged).write.format(fmt).mode("overwrite").save(rejects_path)
-        got_in, got = seen.get, counts.get
     finally:
         flagged.unpersist()
     return {
-        "bronze_read": int(got_in["bronze_read"]),
-        "duplicates_removed": int(got_in["bronze_read"]) - int(got["deduped"]),
-        "valid": int(got["valid"]),
-        "rejected": int(got["rejected"]),
+        "bronze_read": read,
+        "duplicates_removed": read - int(counts["deduped"]),
+        "valid": int(counts["valid"]),
+        "rejected": int(counts["rejected"]),
     }
