@@ -21,7 +21,7 @@ from tillscope.operators import gold, model_tests, profile, quality
 from tillscope.operators.dedup import dedup_latest
 from tillscope.operators.silver import silver_flagged, silver_rejects, silver_run_summary, silver_valid
 from tillscope.plans.pipeline import run_pipeline
-from tillscope.session import scratch_path
+from tillscope.session import ensure_checkpoint_dir, scratch_path
 from tillscope.sources.bronze import read_bronze, write_bronze_batch
 from tillscope.sources.csv_export import export_csv, read_csv_export
 from tillscope.sources.messages import decode_messages, encode_messages
@@ -85,7 +85,15 @@ def _stg(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    stg = _stg(spark, d)
+    """The four gold models over one materialised staging table.
+
+    Staging is checkpointed (reliably, under ``spark.checkpoint.dir``) so the
+    model tests' several branches read it instead of each re-deriving
+    scan -> joins -> dedup; the pipeline gets the same effect from its
+    written tables.
+    """
+    ensure_checkpoint_dir(spark)
+    stg = _stg(spark, d).checkpoint(eager=True)
     return {
         "stg_sales_transactions": stg,
         "fct_daily_sales": gold.fct_daily_sales(stg),
