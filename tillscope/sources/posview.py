@@ -52,11 +52,12 @@ def with_parallelism_floor(df: DataFrame) -> DataFrame:
     Only then is a round-robin exchange added; a large multi-file scan
     already has enough splits and is left alone (no extra shuffle).
     """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it alone
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def _pad_no_truncate(n: F.Column, width: int) -> F.Column:

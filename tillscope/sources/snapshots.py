@@ -40,9 +40,14 @@ class SnapshotSchemaError(ValueError):
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Does the path exist?  Asks the Hadoop file system; without a JVM gateway
+    (remote session) it assumes yes and lets the read decide."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:
+        return True
 
 
 def _commits(spark: SparkSession, path: str) -> list:
