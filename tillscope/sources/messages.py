@@ -39,13 +39,17 @@ def encode_messages(df: DataFrame, received_at: str | None = "kafka_received_at"
 def decode_messages(raw: DataFrame, with_key: bool = False) -> DataFrame:
     """(key, value, timestamp) → the 12 message fields + kafka_received_at.
 
-    ``with_key`` also returns the key as text (``message_key``, first column).
+    The value is parsed once.  The parsed struct is expanded through a
+    generator (``inline`` of a one-element array) rather than a projection:
+    a later filter on the fields (Bronze admission) cannot be pushed beneath
+    a generator, whereas beneath a projection it would re-parse the text
+    once per tested field.  A NULL or malformed value still yields one row
+    of NULLs.  ``with_key`` also returns the key as text (``message_key``).
     """
     data = F.from_json(F.col("value").cast("string"), S.MESSAGE_SCHEMA)
     key = [F.col("key").cast("string").alias("message_key")] if with_key else []
-    fields = [F.col(f"data.{n}").alias(n) for n in S.MESSAGE_FIELDS]
-    return raw.select(*key, data.alias("data"), F.col("timestamp").alias("kafka_received_at")).select(
-        *(["message_key"] if with_key else []), *fields, "kafka_received_at")
+    expanded = raw.select(*key, F.col("timestamp").alias("kafka_received_at"), F.inline(F.array(data)))
+    return expanded.select(*(["message_key"] if with_key else []), *S.MESSAGE_FIELDS, "kafka_received_at")
 
 
 def publish_messages(df: DataFrame, fmt: str = "kafka", topic: str | None = None,
