@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tillscope import schema as S
 from tillscope.functions.contract import contract_violations

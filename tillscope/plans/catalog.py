@@ -27,7 +27,7 @@ from tillscope.sources.csv_export import export_csv, read_csv_export
 from tillscope.sources.messages import decode_messages, encode_messages
 from tillscope.sources.posview import POS_TIEBREAK, pos_view, read_table, with_parallelism_floor
 from tillscope.sources.snapshots import read_snapshot, snapshot_history, write_snapshot
-from tillscope.streaming.ingest import admit, enrich, file_message_source, ingest, start_ingest
+from tillscope.streaming.ingest import enrich, file_message_source, ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
