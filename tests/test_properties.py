@@ -71,3 +71,18 @@ def test_pipeline_strict_gate(spark, scratch):
     assert summary.silver_valid == 4280 and summary.expectations_failed == 1  # GIFT payments fail the set rule
     with pytest.raises(PipelineCheckFailed):
         run_pipeline(spark, bronze, f"{scratch}/strict", clock=CLOCK, tiebreak=POS_TIEBREAK, strict=True)
+
+
+def test_cli_silver_validate_gold(spark, scratch):
+    from tillscope.cli import main
+    from tillscope.sources.bronze import write_bronze_batch
+
+    write_bronze_batch(pos_view(spark, SF_SMALL).select(*S.BRONZE_COLUMNS), f"{scratch}/bronze",
+                       partition_by=S.BRONZE_DATE_PARTITION_COLUMNS)
+    assert main(["silver", "--bronze", f"{scratch}/bronze", "--silver", f"{scratch}/silver",
+                 "--rejects", f"{scratch}/rejects"]) == 0
+    assert spark.read.parquet(f"{scratch}/rejects").count() == 314
+    assert main(["validate", "--silver", f"{scratch}/silver"]) == 0
+    assert main(["validate", "--silver", f"{scratch}/silver", "--strict"]) == 1   # GIFT payments
+    assert main(["gold", "--silver", f"{scratch}/silver", "--out", f"{scratch}/gold", "--strict"]) == 0
+    assert spark.read.parquet(f"{scratch}/gold/fct_daily_sales").count() == 3502

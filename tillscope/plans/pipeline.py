@@ -46,6 +46,26 @@ def _write_counted(df: DataFrame, path: str, name: str) -> int:
     return int(obs.get["n"])
 
 
+def run_gold(spark: SparkSession, silver: DataFrame, out_dir: str) -> dict:
+    """Staging view, the three marts as tables, and the model tests over the written tables."""
+    out = out_dir.rstrip("/")
+    stg = stg_sales(silver)
+    stg.createOrReplaceTempView("stg_sales_transactions")
+    n_fct = _write_counted(fct_daily_sales(stg), f"{out}/fct_daily_sales", "fct")
+    n_stores = _write_counted(dim_stores(stg), f"{out}/dim_stores", "dim_stores")
+    n_products = _write_counted(dim_products(stg), f"{out}/dim_products", "dim_products")
+    models = {
+        "stg_sales_transactions": stg,
+        "fct_daily_sales": spark.read.parquet(f"{out}/fct_daily_sales"),
+        "dim_stores": spark.read.parquet(f"{out}/dim_stores"),
+        "dim_products": spark.read.parquet(f"{out}/dim_products"),
+    }
+    model_test_report(models).write.mode("overwrite").parquet(f"{out}/model_tests")
+    failed = spark.read.parquet(f"{out}/model_tests").filter(~F.col("passed")).count()
+    return {"fct_rows": n_fct, "dim_store_rows": n_stores, "dim_product_rows": n_products,
+            "model_tests_failed": failed}
+
+
 def run_pipeline(spark: SparkSession, bronze: DataFrame, out_dir: str,
                  clock: _dt.datetime | None = None, tiebreak: Sequence[str] = (),
                  strict: bool = False) -> DataFrame:
@@ -59,26 +79,13 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, out_dir: str,
     silver = read_silver(spark, f"{out}/silver")
     report = run_suite(silver, silver_suite())
     report.write.mode("overwrite").parquet(f"{out}/quality_report")
-    report = spark.read.parquet(f"{out}/quality_report")
-    failed_rules = report.filter(~F.col("success")).count()
-
-    stg = stg_sales(silver)
-    stg.createOrReplaceTempView("stg_sales_transactions")
-    n_fct = _write_counted(fct_daily_sales(stg), f"{out}/fct_daily_sales", "fct")
-    n_stores = _write_counted(dim_stores(stg), f"{out}/dim_stores", "dim_stores")
-    n_products = _write_counted(dim_products(stg), f"{out}/dim_products", "dim_products")
-    models = {
-        "stg_sales_transactions": stg,
-        "fct_daily_sales": spark.read.parquet(f"{out}/fct_daily_sales"),
-        "dim_stores": spark.read.parquet(f"{out}/dim_stores"),
-        "dim_products": spark.read.parquet(f"{out}/dim_products"),
-    }
-    tests = model_test_report(models)
-    tests.write.mode("overwrite").parquet(f"{out}/model_tests")
-    failed_tests = spark.read.parquet(f"{out}/model_tests").filter(~F.col("passed")).count()
+    failed_rules = spark.read.parquet(f"{out}/quality_report").filter(~F.col("success")).count()
+    gold = run_gold(spark, silver, out)
 
+    failed_tests = gold["model_tests_failed"]
     row = (silver_sum["bronze_read"], silver_sum["duplicates_removed"], silver_sum["valid"],
-           silver_sum["rejected"], failed_rules, n_fct, n_stores, n_products, failed_tests)
+           silver_sum["rejected"], failed_rules, gold["fct_rows"], gold["dim_store_rows"],
+           gold["dim_product_rows"], failed_tests)
     if strict and (failed_rules or failed_tests):
         raise PipelineCheckFailed(f"{failed_rules} expectation(s) and {failed_tests} model test(s) failed")
     return spark.createDataFrame([row], SUMMARY_SCHEMA)
