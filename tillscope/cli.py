@@ -1,6 +1,7 @@
 """Command line: each stage of the audit chain as one Spark application.
 
-    spark-submit -m tillscope.cli <command> [options]     (or python -m tillscope.cli)
+    python -m tillscope.cli <command> [options]
+    spark-submit tillscope/cli.py <command> [options]
 
 Commands: ingest, silver, validate, gold, pipeline, export-csv, history.
 Settings that the audited scripts read from the environment are options
