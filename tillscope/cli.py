@@ -63,7 +63,6 @@ def main(argv: list[str] | None = None) -> int:
     exp = sub.add_parser("export-csv", help="Silver as CSV (distributed write)")
     exp.add_argument("--silver", required=True)
     exp.add_argument("--out", required=True)
-    exp.add_argument("--single-file", action="store_true")
 
     his = sub.add_parser("history", help="versions of a snapshot table")
     his.add_argument("--table", required=True)
@@ -118,7 +117,7 @@ def main(argv: list[str] | None = None) -> int:
         from tillscope.plans.pipeline import read_silver
         from tillscope.sources.csv_export import export_csv
 
-        export_csv(read_silver(spark, a.silver), a.out, single_file=a.single_file)
+        export_csv(read_silver(spark, a.silver), a.out)
         return 0
     if a.cmd == "history":
         from tillscope.sources.snapshots import snapshot_history

@@ -1,9 +1,9 @@
 """CSV export of a table, written by the executors (no driver round trip).
 
 Options make the text round-trip exactly: timestamps keep microseconds,
-NULL is written as ``\\N`` so it stays distinct from the empty string.
-One output file only on request (``single_file=True`` funnels the whole
-table through one task; meant for small extracts).
+NULL is written as a token so it stays distinct from the empty string.
+Every task writes its own part file; the table never passes through one
+task or the driver (readers take the folder).
 """
 
 from __future__ import annotations
@@ -23,10 +23,9 @@ _OPTIONS = {
 }
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write with a header; the empty string is written quoted, NULL as the null token."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).options(**_OPTIONS).csv(path)
+    df.write.mode(mode).options(**_OPTIONS).csv(path)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
