@@ -42,13 +42,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, setting one only if unset."""
+    """Return the session's shared checkpoint folder, setting one only if unset.
+
+    The folder named by ``spark.checkpoint.dir`` wins.  A machine-local
+    default is used only for a local master (tests); on a cluster an unset
+    folder is an error, because executors would not share it.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or _LOCAL_DEFAULT_SCRATCH)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = _LOCAL_DEFAULT_SCRATCH
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
