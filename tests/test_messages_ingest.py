@@ -107,3 +107,10 @@ def test_bronze_batch_audited_layout_null_partitions(spark, scratch):
     assert back.count() == 6000
     assert back.filter(F.col("store_id").isNull()).count() == pos.filter(F.col("store_id").isNull()).count() > 0
     assert sorted(back.collect(), key=repr) == sorted(pos.collect(), key=repr)
+
+
+def test_decode_type_mismatch_fields_are_null_and_row_dropped(spark):
+    odd = FULL.replace('"quantity":2', '"quantity":1.5').replace('"total_amount":3.0', '"total_amount":"2.5"')
+    (row,) = decode_messages(_raw(spark, [odd])).collect()
+    assert row.quantity is None and row.total_amount is None and row.transaction_id == "t1"
+    assert ingest(_raw(spark, [odd]), clock=TS).count() == 0
