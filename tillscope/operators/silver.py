@@ -97,7 +97,7 @@ def silver_run_summary(bronze: DataFrame, flagged: DataFrame) -> DataFrame:
 
 def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects_path: str,
                clock: _dt.datetime | None = None, tiebreak: Sequence[str] = (),
-               fmt: str = "parquet") -> dict:
+               fmt: str = "parquet", storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
     """Write Silver (partitioned by date) and Rejects from one Bronze scan.
 
     Returns the run summary (bronze_read, duplicates_removed, valid,
@@ -107,7 +107,7 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects
     clock = clock or _dt.datetime.now(_dt.timezone.utc)
     seen = Observation("bronze_in")
     observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_read"))
-    flagged = silver_flagged(observed, clock=clock, tiebreak=tiebreak).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = silver_flagged(observed, clock=clock, tiebreak=tiebreak).persist(storage)
     try:
         # the one Bronze scan: materialise the flagged frame and count its classes
         counts = flagged.agg(
