@@ -320,7 +320,7 @@ def q_csv_export_roundtrip(spark, d):
     return _doubles(_no_clock(read_csv_export(spark, path, silver.schema)))
 
 
-def q_pipeline_summary(spark, d):
+def q_audit_chain_summary(spark, d):
     return run_pipeline(spark, _bronze(spark, d), scratch_path(spark, "pipeline"),
                         clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK)
 
@@ -379,7 +379,7 @@ _QUERIES: dict[str, Query] = {
     "snapshot_version_counts": q_snapshot_version_counts,
     "csv_export_roundtrip": q_csv_export_roundtrip,
     # whole chain
-    "pipeline_summary": q_pipeline_summary,
+    "audit_chain_summary": q_audit_chain_summary,
 }
 
 QUERIES: dict[str, Query] = {k: _registered(v) for k, v in _QUERIES.items()}

@@ -421,7 +421,7 @@ def oracle_sql() -> dict[str, str]:
         f"UNION ALL SELECT 1, (SELECT count(*) FROM silver) "
         f"UNION ALL SELECT 2, (SELECT count(*) FROM silver)")
     q["csv_export_roundtrip"] = SILVER + f"SELECT {silver_cols} FROM silver"
-    q["pipeline_summary"] = GOLD + (
+    q["audit_chain_summary"] = GOLD + (
         "SELECT (SELECT count(*) FROM pos) AS bronze_read, "
         "(SELECT count(*) FROM pos) - (SELECT count(*) FROM flagged2) AS duplicates_removed, "
         "(SELECT count(*) FROM silver) AS silver_valid, "
