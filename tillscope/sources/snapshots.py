@@ -4,7 +4,7 @@ Layout under a table path::
 
     data/version=N/...       the rows committed by version N (Parquet,
                              optionally partitioned further)
-    _history/version=N/      one commit row: version, committed_at,
+    _history/v=N/            one commit row: version, committed_at,
                              operation, mode, n_rows, base_version,
                              schema_json, partition_by
 
@@ -55,13 +55,18 @@ def _commits(spark: SparkSession, path: str) -> list:
     if not _exists(spark, f"{path}/_history"):
         return []
     try:
-        hist = spark.read.schema(HISTORY_SCHEMA + ", v int").option("basePath", f"{path}/_history") \
-            .parquet(f"{path}/_history")
+        hist = _history_frame(spark, path)
     except AnalysisException:
         return []
     return sorted(hist.drop("v").collect(), key=lambda r: r.version)
 
 
+def _history_frame(spark: SparkSession, path: str) -> DataFrame:
+    # glob the commit folders: a path named ``_history`` itself counts as hidden to the reader
+    return (spark.read.schema(HISTORY_SCHEMA + ", v int").option("basePath", f"{path}/_history")
+            .parquet(f"{path}/_history/v=*"))
+
+
 def write_snapshot(df: DataFrame, path: str, mode: str = "append",
                    partition_by: Sequence[str] | None = None, fmt: str = "parquet") -> int:
     """Commit ``df`` as the next version; returns the version number."""
@@ -127,7 +132,6 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None,
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """version, committed_at, operation, mode, n_rows, base_version (newest first)."""
-    hist = spark.read.schema(HISTORY_SCHEMA + ", v int").option("basePath", f"{path}/_history") \
-        .parquet(f"{path}/_history")
+    hist = _history_frame(spark, path)
     return hist.select("version", "committed_at", "operation", "mode", "n_rows", "base_version") \
         .orderBy(F.col("version").desc())
