@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +19,23 @@ TEXTS_PER_STEP = 256
 CHARS_PER_STEP = 2_000_000
 
 
+_shipped: set[str] = set()  # applications that have the package on their executors
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks can import this package, also where it is not installed on the executors."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        path = os.path.join(tempfile.mkdtemp(), f"{package.name}.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(path)
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(fn, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,4 +70,4 @@ def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
 def map_texts(docs: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Run an Arrow task over (id, text) alone; other columns never reach Python."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(fn, schema)
+    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), fn, schema)

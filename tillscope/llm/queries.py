@@ -8,17 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm.common import table
+from tillscope.llm.packing import pack
 from tillscope.llm.token_count import token_counts
+from tillscope.llm.word_bpe import encode_decode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, closing_id=0)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_word_bpe": op9_word_bpe,
 }
 
 #: DuckDB SQL where it can express a query
