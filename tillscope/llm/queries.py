@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm.common import table
+from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.packing import pack
 from tillscope.llm.token_count import token_counts
 from tillscope.llm.word_bpe import encode_decode
@@ -27,10 +28,15 @@ def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_counts": op8_token_counts,
     "op9_word_bpe": op9_word_bpe,
+    "op10_minhash": op10_minhash,
 }
 
 #: DuckDB SQL where it can express a query
