@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm.common import table
+from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.packing import pack
 from tillscope.llm.token_count import token_counts
@@ -16,6 +17,10 @@ from tillscope.llm.word_bpe import encode_decode
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, closing_id=0)
 
@@ -33,6 +38,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_line_dedup": op2_line_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_counts": op8_token_counts,
     "op9_word_bpe": op9_word_bpe,
