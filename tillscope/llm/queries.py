@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tillscope.llm import license_scan
 from tillscope.llm.common import table
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
@@ -21,6 +22,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, closing_id=0)
 
@@ -39,6 +44,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_counts": op8_token_counts,
     "op9_word_bpe": op9_word_bpe,
@@ -46,4 +52,6 @@ QUERIES: dict[str, Query] = {
 }
 
 #: DuckDB SQL where it can express a query
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": license_scan.oracle_sql(),
+}
