@@ -12,12 +12,17 @@ from tillscope.llm.common import table
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.packing import pack
+from tillscope.llm.spotsigs import edited_fingerprints
 from tillscope.llm.token_count import token_counts
 from tillscope.llm.word_bpe import encode_decode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).drop("row")
 
@@ -43,6 +48,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_line_dedup": op2_line_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
