@@ -12,6 +12,7 @@ from tillscope.llm.common import table
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.packing import pack
+from tillscope.llm.quality_fm import score_documents, train
 from tillscope.llm.spotsigs import edited_fingerprints
 from tillscope.llm.token_count import token_counts
 from tillscope.llm.word_bpe import encode_decode
@@ -35,6 +36,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, closing_id=0)
 
 
+def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
@@ -52,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_quality_fm": op6_quality_fm,
     "op8_token_counts": op8_token_counts,
     "op9_word_bpe": op9_word_bpe,
     "op10_minhash": op10_minhash,
