@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import license_scan
+from tillscope.llm import license_scan, url_filter
 from tillscope.llm.common import table
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
@@ -41,6 +41,15 @@ def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+#: (verdict, host, path)
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, URL_RULES, url_filter.label_by_words(pages))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
@@ -59,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_quality_fm": op6_quality_fm,
+    "op7_url_filter": op7_url_filter,
     "op8_token_counts": op8_token_counts,
     "op9_word_bpe": op9_word_bpe,
     "op10_minhash": op10_minhash,
