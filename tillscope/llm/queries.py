@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillscope.llm import license_scan, url_filter
 from tillscope.llm.common import table
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
+from tillscope.llm.multi_index import nearest
 from tillscope.llm.packing import pack
 from tillscope.llm.quality_fm import score_documents, train
 from tillscope.llm.spotsigs import edited_fingerprints
@@ -36,6 +38,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, closing_id=0)
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -67,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_multi_index": op5_multi_index,
     "op6_quality_fm": op6_quality_fm,
     "op7_url_filter": op7_url_filter,
     "op8_token_counts": op8_token_counts,
