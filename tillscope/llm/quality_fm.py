@@ -116,8 +116,10 @@ class Machine:
             rate: float = 0.08, decay: float = 1e-5) -> Machine:
         """AdaGrad on the logistic loss, in batches in a fixed random order."""
         gw0, gw, gv = 1e-8, np.full(N_FEATURES, 1e-8), np.full((N_FEATURES, FACTORS), 1e-8)
+        if not rows:
+            self.v[:] = 0  # nothing is known: every score is 0.5
         order = np.random.default_rng(11)
-        for _ in range(epochs if len(rows) else 0):
+        for _ in range(epochs if rows else 0):
             for part in np.array_split(order.permutation(len(rows)), max(1, len(rows) // batch)):
                 at = np.concatenate([rows[i][0] for i in part])
                 x = np.concatenate([rows[i][1] for i in part])
