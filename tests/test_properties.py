@@ -81,8 +81,12 @@ def test_cli_silver_validate_gold(spark, scratch):
                        partition_by=S.BRONZE_DATE_PARTITION_COLUMNS)
     assert main(["silver", "--bronze", f"{scratch}/bronze", "--silver", f"{scratch}/silver",
                  "--rejects", f"{scratch}/rejects"]) == 0
-    assert spark.read.parquet(f"{scratch}/rejects").count() == 314
+    from tillscope.operators.silver import read_rejects
+    from tillscope.plans.pipeline import read_mart
+
+    assert read_rejects(spark, f"{scratch}/rejects").count() == 314
+    assert main(["profile", "--silver", f"{scratch}/silver"]) == 0 and main(["profile", "--bronze", f"{scratch}/bronze"]) == 0
     assert main(["validate", "--silver", f"{scratch}/silver"]) == 0
     assert main(["validate", "--silver", f"{scratch}/silver", "--strict"]) == 1   # GIFT payments
     assert main(["gold", "--silver", f"{scratch}/silver", "--out", f"{scratch}/gold", "--strict"]) == 0
-    assert spark.read.parquet(f"{scratch}/gold/fct_daily_sales").count() == 3502
+    assert read_mart(spark, f"{scratch}/gold", "fct_daily_sales").count() == 3502

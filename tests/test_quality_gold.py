@@ -8,7 +8,7 @@ from tillscope import schema as S
 from tillscope.functions.contract import contract_violations
 from tillscope.operators import model_tests, quality
 from tillscope.sources.csv_export import export_csv, read_csv_export
-from tillscope.sources.snapshots import SnapshotSchemaError, read_snapshot, snapshot_history, write_snapshot
+from tillscope.sources.versions import read_version, version_history, write_version
 
 
 def test_suite_null_passes_except_not_null(spark):
@@ -57,29 +57,37 @@ def test_model_tests_ignore_nulls(spark):
     assert rep == {"unique": 1, "not_null": 1, "relationships": 1}
 
 
-def test_snapshot_versions_isolate(spark, scratch):
+def test_versions_isolate(spark, scratch):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
     b = spark.createDataFrame([(3, "z")], "id int, v string")
-    assert write_snapshot(a, scratch, mode="overwrite") == 0
-    assert write_snapshot(b, scratch, mode="append") == 1
-    assert read_snapshot(spark, scratch, version=0).count() == 2
-    assert read_snapshot(spark, scratch).count() == 3
-    with pytest.raises(SnapshotSchemaError):
-        write_snapshot(spark.createDataFrame([(1,)], "id int"), scratch, mode="append")
-    assert write_snapshot(spark.createDataFrame([(9,)], "id int"), scratch, mode="overwrite") == 2
-    assert read_snapshot(spark, scratch).columns == ["id"]
-    assert sorted(r.id for r in read_snapshot(spark, scratch, version=1).collect()) == [1, 2, 3]
-    hist = [(r.version, r.mode, r.n_rows) for r in snapshot_history(spark, scratch).collect()]
-    assert hist == [(2, "Overwrite", 1), (1, "Append", 1), (0, "Overwrite", 2)]
+    assert write_version(a, scratch, mode="overwrite") == 0
+    assert write_version(b, scratch) == 1
+    assert write_version(b.limit(0), scratch) == 1  # nothing to append: no new version
+    with pytest.raises(ValueError):
+        write_version(b.limit(0), scratch, mode="overwrite")
+    assert read_version(spark, scratch, a.schema, 0).count() == 2
+    assert read_version(spark, scratch, a.schema).count() == 3
+    assert write_version(a.filter("id = 1"), scratch, mode="overwrite") == 2
+    assert sorted(r.id for r in read_version(spark, scratch, a.schema, 1).collect()) == [1, 2, 3]
+    assert [r.id for r in read_version(spark, scratch, a.schema).collect()] == [1]
+    plan = read_version(spark, scratch, a.schema, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(base" in plan
+    hist = [(r.version, r.mode, r.n_rows, r.base_version) for r in version_history(spark, scratch).collect()]
+    assert hist == [(2, "Overwrite", 1, 2), (1, "Append", 1, 0), (0, "Overwrite", 2, 0)]
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, f"{scratch}-none", a.schema)
+
+
+ODD_TEXT = ["", " lead", "trail ", "  ", "\\N", "\\", "a\\nb", 'quo"te,comma', "line\nbreak", "cr\rlf\r\n", "tab\t", "nul\0x\\0", "\\\\N", None, "NL-001\n", '"', "#c"]
 
 
 def test_csv_roundtrip_exact(spark, scratch):
     ts = dt.datetime(2026, 6, 19, 14, 30, 0, 123456)
-    df = spark.createDataFrame([("t1", "", None, ts, 1.25)], "id string, terminal_id string, audit_flag string, "
-                                                             "ts timestamp, amount double")
+    df = spark.createDataFrame([(i, t, None if i % 2 else t, ts if i % 3 else None, 1.25 * i) for i, t in enumerate(ODD_TEXT)],
+                               "id int, terminal_id string, audit_flag string, ts timestamp, amount double")
     export_csv(df, scratch)
-    back = read_csv_export(spark, scratch, df.schema).collect()
-    assert back == df.collect()
+    back = sorted(read_csv_export(spark, scratch, df.schema).collect())
+    assert back == sorted(df.collect())
 
 
 def test_reports_and_publish(spark, scratch):
@@ -90,7 +98,8 @@ def test_reports_and_publish(spark, scratch):
 
     bronze = pos_view(spark, SF_SMALL)
     rep = bronze_profile_report(bronze)
-    assert set(rep) == {"null_check", "audit_flag_distribution", "payment_method_distribution",
+    assert rep["row_count"].first()[0] == 6000
+    assert set(rep) == {"row_count", "null_check", "audit_flag_distribution", "payment_method_distribution",
                         "top_stores_by_revenue", "sample"}
     assert rep["top_stores_by_revenue"].count() == 10 and rep["sample"].count() == 5
     assert silver_check_report(bronze.limit(0)) == {}

@@ -3,10 +3,11 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillscope import schema as S
-from tillscope.functions.money import avg_units_to_cents, pct_of_total, round_units_to_cents
+from tillscope.functions.money import avg_to_cents, pct_of_total, round_to_cents
 from tillscope.operators.dedup import dedup_latest
 from tillscope.operators.silver import silver_flagged, silver_rejects, silver_valid
 
@@ -77,10 +78,10 @@ def test_dedup_plan_limits_before_shuffle(spark):
 
 
 def test_money_rounding_half_away_from_zero(spark):
-    # units of 0.0001: 23,450,000 over 1,000 rows is 2.345 -> 2.35 (half away from zero)
-    df = spark.createDataFrame([(23450000, 1000), (-23450, 1), (50, 1), (-50, 1), (0, 0)], "s long, n long")
-    out = df.select(avg_units_to_cents(F.col("s"), F.col("n")).alias("avg"),
-                    round_units_to_cents(F.col("s")).alias("r")).collect()
+    # 2345 over 1,000 rows is 2.345 -> 2.35 (half away from zero)
+    df = spark.createDataFrame([("2345.0", 1000), ("-2.345", 1), ("0.005", 1), ("-0.005", 1), ("0", 0)], "s string, n long").withColumn(
+        "s", F.col("s").cast("decimal(38,4)"))
+    out = df.select(avg_to_cents(F.col("s"), F.col("n")).alias("avg"), round_to_cents(F.col("s")).alias("r")).collect()
     assert [o.avg for o in out] == [2.35, -2.35, 0.01, -0.01, None]
     assert [o.r for o in out] == [2345.0, -2.35, 0.01, -0.01, 0.0]
     pct = spark.createDataFrame([(1, 8), (1, 3), (2, 3)], "c long, t long").select(
@@ -141,7 +142,75 @@ def test_broker_source_needs_connector(spark):
 
     from tillscope.streaming.ingest import kafka_source
 
-    try:
+    with pytest.raises(PySparkException, match="(?i)kafka"):  # connector jar absent in this build
         kafka_source(spark, "127.0.0.1:9", "pos-transactions")
-    except (PySparkException, Exception) as exc:  # connector jar absent in this build
-        assert "kafka" in str(exc).lower()
+
+
+#: price, total (quantity 1) -> reason; the total as it came is judged
+ODD_MONEY = [
+    (1.0, 1e15, S.REASON_TOTAL_MISMATCH), (1e15, 1e15, S.REASON_TOTAL_MISMATCH), (1.0, float("nan"), S.REASON_TOTAL_MISMATCH),
+    (1.0, float("inf"), S.REASON_TOTAL_MISMATCH), (1.0, float("-inf"), S.REASON_NEGATIVE_AMOUNT), (0.0, -0.00004, S.REASON_NEGATIVE_AMOUNT),
+    (float("nan"), 1.0, S.REASON_TOTAL_MISMATCH), (1.0, 1.01004, S.REASON_TOTAL_MISMATCH), (1.0, 1.00996, None), (1e300, 1e300, S.REASON_TOTAL_MISMATCH),
+    (9e13, 9e13, None), (None, 5.0, None), (1.0, None, None),
+]
+
+
+def test_money_is_judged_as_it_came(spark):
+    rows = [(f"m{i}", "NL-001", 1, p, t, False) for i, (p, t, _) in enumerate(ODD_MONEY)]
+    got = {r.transaction_id: r for r in silver_flagged(_bronze(spark, rows), clock=T0).collect()}
+    for i, (price, total, reason) in enumerate(ODD_MONEY):
+        r = got[f"m{i}"]
+        assert r.rejection_reason == reason, (price, total)
+        assert not r.is_valid or (r.total_amount is None) == (total is None)
+    from tillscope.operators.profile import check_total_mismatch
+    bad = sum(r in (S.REASON_TOTAL_MISMATCH,) for _, _, r in ODD_MONEY)
+    assert check_total_mismatch(_bronze(spark, rows)).first()[0] >= bad
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_beyond_bigint_units(spark, ansi):
+    from tillscope.operators.gold import fct_daily_sales, stg_sales
+    from tillscope.operators.profile import top_stores_by_revenue
+
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        bronze = _bronze(spark, [(f"s{i}", "NL-001", 1, 9e13, 9e13, False) for i in range(20)])
+        top = top_stores_by_revenue(bronze).first()
+        assert (top.revenue_eur, top.avg_basket_eur) == (1.8e15, 9e13)
+        fct = fct_daily_sales(stg_sales(silver_valid(silver_flagged(bronze, clock=T0)).withColumn("audit_flag", F.lit("VALID")))).first()
+        assert (fct.valid_revenue, fct.avg_transaction_value) == (1.8e15, 9e13)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)
+
+
+def test_dedup_without_tiebreak_is_reproducible(spark):
+    rows = [(f"t{i % 7}", "NL-001", i % 5, 1.0, float(i), False) for i in range(200)]
+    bronze = _bronze(spark, rows).withColumn("ingested_at", F.lit(T0))
+    got = [sorted(map(str, dedup_latest(bronze.repartition(n), ["transaction_id"], ["ingested_at"]).collect())) for n in (3, 7, 13)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 7
+
+
+def test_all_rejected_leaves_an_empty_silver(spark, scratch):
+    from tillscope.cli import main
+    from tillscope.operators.silver import read_rejects, read_silver
+    from tillscope.plans.pipeline import run_pipeline, validate_silver
+
+    bad = _bronze(spark, [("x", "NL-001", 1, 1.0, -1.0, False)])
+    row = run_pipeline(spark, bad, scratch, clock=T0).first()
+    assert (row.bronze_read, row.silver_valid, row.rejected, row.expectations_failed) == (1, 0, 1, 1)
+    assert read_silver(spark, f"{scratch}/silver").count() == 0 and read_rejects(spark, f"{scratch}/rejects").count() == 1
+    failed = [r.rule_id for r in validate_silver(spark, f"{scratch}/silver").collect() if not r.success]
+    assert failed == [8]
+    assert main(["validate", "--silver", f"{scratch}/silver", "--strict"]) == 1
+
+
+def test_failed_strict_run_leaves_the_marts_before_it(spark, scratch):
+    from tillscope.plans.pipeline import PipelineCheckFailed, read_mart, run_pipeline
+
+    good = _bronze(spark, [("x", "NL-001", 1, 1.0, 1.0, False)])
+    run_pipeline(spark, good, scratch, clock=T0, strict=True)
+    gift = good.withColumn("payment_method", F.lit("GIFT")).withColumn("store_id", F.lit("NL-002"))
+    with pytest.raises(PipelineCheckFailed):
+        run_pipeline(spark, gift, scratch, clock=T0, strict=True)
+    assert [r.store_id for r in read_mart(spark, f"{scratch}/gold", "dim_stores").collect()] == ["NL-001"]

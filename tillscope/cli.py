@@ -3,7 +3,7 @@
     python -m tillscope.cli <command> [options]
     spark-submit tillscope/cli.py <command> [options]
 
-Commands: ingest, silver, validate, gold, pipeline, export-csv, history.
+Commands: ingest, silver, validate, gold, pipeline, profile, export-csv.
 Settings that the audited scripts read from the environment are options
 here.  The session comes from the launcher (master, resources, checkpoint
 folder); nothing is hard-wired.
@@ -19,7 +19,9 @@ from pyspark.sql import SparkSession
 
 
 def _session(app: str) -> SparkSession:
-    return SparkSession.builder.appName(f"tillscope-{app}").getOrCreate()
+    spark = SparkSession.builder.appName(f"tillscope-{app}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # naive timestamp text is UTC, wherever the launcher runs
+    return spark
 
 
 def _print_df(df) -> None:
@@ -38,6 +40,11 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--topic")
     ing.add_argument("--message-dir", help="directory of message files (key, value, timestamp) instead of a topic")
     ing.add_argument("--available-now", action="store_true")
+    ing.add_argument("--starting-offsets", default="latest", help="where a first start begins (a checkpoint wins)")
+    ing.add_argument("--max-per-trigger", type=int, help="records (topic) or files (directory) of a trigger; default: all there is")
+    ing.add_argument("--trigger-interval", help="for example '30 seconds'")
+    ing.add_argument("--tolerate-data-loss", action="store_true", help="go on where the topic has lost messages")
+    ing.add_argument("--buckets", type=int, help="tasks that write one folder of a batch")
     ing.add_argument("--date-only", action="store_true", help="partition by date only (stores clustered in files)")
 
     sil = sub.add_parser("silver", help="Bronze -> Silver + Rejects (one Bronze scan)")
@@ -64,22 +71,26 @@ def main(argv: list[str] | None = None) -> int:
     exp.add_argument("--silver", required=True)
     exp.add_argument("--out", required=True)
 
-    his = sub.add_parser("history", help="versions of a snapshot table")
-    his.add_argument("--table", required=True)
+    pro = sub.add_parser("profile", help="verification report of a Bronze or Silver table")
+    one = pro.add_mutually_exclusive_group(required=True)
+    one.add_argument("--bronze")
+    one.add_argument("--silver")
 
     a = p.parse_args(argv)
     spark = _session(a.cmd)
 
     if a.cmd == "ingest":
         from tillscope import schema as S
-        from tillscope.streaming.ingest import file_message_source, kafka_source, start_ingest
+        from tillscope.streaming.ingest import CLUSTER_BUCKETS, file_message_source, kafka_source, start_ingest
 
         if a.message_dir:
-            src = file_message_source(spark, a.message_dir)
+            src = file_message_source(spark, a.message_dir, a.max_per_trigger)
         else:
-            src = kafka_source(spark, a.kafka_servers, a.topic)
+            src = kafka_source(spark, a.kafka_servers, a.topic, a.starting_offsets, a.max_per_trigger, not a.tolerate_data_loss)
+        every = {"processingTime": a.trigger_interval} if a.trigger_interval else None
         q = start_ingest(src, a.bronze, a.checkpoint,
-                         trigger={"availableNow": True} if a.available_now else None,
+                         trigger={"availableNow": True} if a.available_now else every,
+                         cluster_by_partition=CLUSTER_BUCKETS if a.buckets is None else a.buckets,
                          partition_by=S.BRONZE_DATE_PARTITION_COLUMNS if a.date_only else None)
         q.awaitTermination()
         return 0
@@ -93,14 +104,18 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "validate":
         from tillscope.plans.pipeline import validate_silver
 
-        report = validate_silver(spark, a.silver).cache()
+        from tillscope.operators.quality import suite_success
+
+        rows = validate_silver(spark, a.silver).collect()  # one row per rule
+        report = spark.createDataFrame(rows)
         _print_df(report)
-        failed = report.filter("NOT success").count()
-        return 1 if (a.strict and failed) else 0
+        _print_df(suite_success(report))
+        return 1 if a.strict and not all(r["success"] for r in rows) else 0
     if a.cmd == "gold":
-        from tillscope.plans.pipeline import read_silver, run_gold
+        from tillscope.operators.silver import read_silver
+        from tillscope.plans.pipeline import run_gold
 
-        res = run_gold(spark, read_silver(spark, a.silver), a.out)
+        res = run_gold(spark, read_silver(spark, a.silver), a.out, strict=a.strict)
         print(json.dumps(res))
         return 1 if (a.strict and res["model_tests_failed"]) else 0
     if a.cmd == "pipeline":
@@ -114,15 +129,20 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         return 0
     if a.cmd == "export-csv":
-        from tillscope.plans.pipeline import read_silver
+        from tillscope.operators.silver import read_silver
         from tillscope.sources.csv_export import export_csv
 
         export_csv(read_silver(spark, a.silver), a.out)
         return 0
-    if a.cmd == "history":
-        from tillscope.sources.snapshots import snapshot_history
+    if a.cmd == "profile":
+        from tillscope.operators.profile import bronze_profile_report, silver_check_report
+        from tillscope.operators.silver import read_silver
+        from tillscope.sources.bronze import read_bronze
 
-        _print_df(snapshot_history(spark, a.table))
+        report = bronze_profile_report(read_bronze(spark, a.bronze)) if a.bronze else silver_check_report(read_silver(spark, a.silver))
+        for name, rows in report.items():
+            print(f"# {name}")
+            _print_df(rows)
         return 0
     return 2
 

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope import schema as S
-from tillscope.functions.money import as_money
-from tillscope.functions.rules import expected_total
+from tillscope.functions.rules import expected_total, total_mismatch
 
 REQUIRED_FIELDS = [
     "transaction_id",
@@ -48,8 +47,8 @@ def _quantity_ok() -> Column:
 
 
 def _price_ok() -> Column:
-    price = as_money("unit_price")
-    return price.between(F.lit(S.UNIT_PRICE_MIN).cast(S.MONEY), F.lit(S.UNIT_PRICE_MAX).cast(S.MONEY))
+    """The bounds hold for the price as it came, before any rounding."""
+    return F.col("unit_price").cast("double").between(float(S.UNIT_PRICE_MIN), float(S.UNIT_PRICE_MAX))
 
 
 def violation_checks() -> list[tuple[str, Column]]:
@@ -63,7 +62,7 @@ def violation_checks() -> list[tuple[str, Column]]:
         ("audit_flag:not_in_set", ~F.col("audit_flag").isin(*S.AUDIT_FLAGS)),
         ("total_amount:mismatch",
          F.coalesce(_quantity_ok(), F.lit(False)) & F.coalesce(_price_ok(), F.lit(False))
-         & (F.abs(as_money("total_amount") - expected_total()) > F.lit(S.TOTAL_TOLERANCE).cast("decimal(4,2)"))),
+         & total_mismatch(expected=expected_total())),
     ]
     return checks
 

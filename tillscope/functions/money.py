@@ -1,14 +1,12 @@
 """Exact money arithmetic as Column expressions.
 
-Amounts are held as DECIMAL(18, 4).  Aggregates run over BIGINT money
-units (1 unit = 0.0001) instead of decimals: a long sum is exact, cheap
-inside whole-stage codegen and independent of summation order, so every
-partitioning (and the DuckDB oracle) gives the same value.  Results turn
-into DOUBLE only in the final projection.
-
-Rounding is half away from zero, Spark's ``round`` on decimals, done in
-integers: ``round(s / n, 2)`` is ``sign(s) * ((2|s| + k n) div (2 k n))``
-cents with ``k`` units per cent.
+Silver amounts are DECIMAL(18, 4).  Rules judge the amount as it came
+(``wide``: ten decimals, 28 integer digits), and only an accepted amount
+is narrowed.  Sums run over decimals with a wide result, so they are
+exact, independent of summation order and far from overflow; results
+turn into DOUBLE only in the final projection.
+
+Rounding is half away from zero, in exact integer steps of cents.
 """
 
 from __future__ import annotations
@@ -16,53 +14,70 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillscope.schema import MONEY, UNITS_PER_CURRENCY
+from tillscope.schema import MONEY
 
-UNITS_PER_CENT = UNITS_PER_CURRENCY // 100
+#: an amount as it came; beyond this the amount is no money at all
+WIDE = "decimal(38,10)"
+#: what sums read: MONEY's decimals, more integer digits
+SUMMED = "decimal(28,4)"
+INTEGER = "decimal(38,0)"
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def idiv(num: Column, den: Column) -> Column:
-    """SQL integral division (``div``), truncating toward zero."""
-    return F.call_function("div", num.cast("bigint"), den.cast("bigint"))
-
-
 def as_money(col: Column | str) -> Column:
     """Any numeric as DECIMAL(18, 4); NULL when it does not fit."""
     return _c(col).try_cast(MONEY)
 
 
-def to_units(col: Column | str) -> Column:
-    """Money as exact BIGINT units of 0.0001."""
-    return (as_money(col) * F.lit(UNITS_PER_CURRENCY)).cast("bigint")
+def wide(col: Column | str) -> Column:
+    """Any numeric with ten decimals; NULL when it is NaN, infinite or beyond 28 integer digits."""
+    return _c(col).try_cast(WIDE)
+
+
+def lost(col: Column | str) -> Column:
+    """True for an amount that is there but cannot be held as money."""
+    c = _c(col)
+    return c.isNotNull() & as_money(c).isNull()
+
+
+def total_of(col: Column | str) -> Column:
+    """Exact sum of amounts, as a wide decimal (an aggregate); amounts that do not fit are left out, see ``unsummed``."""
+    return F.sum(_c(col).try_cast(SUMMED))
+
+
+def unsummed(col: Column | str) -> Column:
+    """Number of amounts that an exact sum cannot hold (an aggregate)."""
+    c = _c(col)
+    return F.count_if(c.isNotNull() & c.try_cast(SUMMED).isNull())
 
 
-def units_to_double(units: Column) -> Column:
-    """Exact units back to a DOUBLE amount (one correctly rounded division)."""
-    return units.cast("double") / F.lit(float(UNITS_PER_CURRENCY))
+def _rounded_ratio(num: Column, den: Column) -> Column:
+    """round(num / den) of whole numbers, half away from zero, by exact integer division."""
+    n = F.abs(num).cast(INTEGER) * F.lit(2) + den.cast(INTEGER)
+    d = den.cast(INTEGER) * F.lit(2)
+    whole = ((n - n % d) / d).cast(INTEGER)
+    return F.when(num < 0, -whole).otherwise(whole)
 
 
-def _signed(magnitude: Column, sign_of: Column) -> Column:
-    return F.when(sign_of < 0, -magnitude).otherwise(magnitude)
+def _ten_thousandths(amount: Column) -> Column:
+    return (amount.cast("decimal(38,4)") * F.lit(10000)).cast(INTEGER)
 
 
-def round_units_to_cents(units: Column) -> Column:
-    """round(amount, 2) of a unit amount; DOUBLE result."""
-    mag = idiv(F.abs(units) + F.lit(UNITS_PER_CENT // 2), F.lit(UNITS_PER_CENT))
-    return _signed(mag, units).cast("double") / F.lit(100.0)
+def round_to_cents(amount: Column) -> Column:
+    """round(amount, 2); DOUBLE result."""
+    return (_rounded_ratio(_ten_thousandths(amount), F.lit(100)).cast("decimal(38,2)") / F.lit(100)).cast("double")
 
 
-def avg_units_to_cents(sum_units: Column, count: Column) -> Column:
-    """round(sum / count, 2) of a unit sum; DOUBLE, NULL for an empty group."""
-    n = count.cast("bigint")
-    mag = idiv(F.lit(2) * F.abs(sum_units) + F.lit(UNITS_PER_CENT) * n,
-               F.lit(2 * UNITS_PER_CENT) * n)
-    return F.when(n > 0, _signed(mag, sum_units).cast("double") / F.lit(100.0))
+def avg_to_cents(total: Column, count: Column) -> Column:
+    """round(total / count, 2); DOUBLE, NULL for an empty group."""
+    cents = _rounded_ratio(_ten_thousandths(total), F.greatest(count, F.lit(1)).cast(INTEGER) * F.lit(100))
+    return F.when(count > 0, (cents.cast("decimal(38,2)") / F.lit(100)).cast("double"))
 
 
 def pct_of_total(part: Column, total: Column) -> Column:
     """round(part / total * 100, 2) for non-negative counts; DOUBLE."""
-    return idiv(F.lit(20000) * part + total, F.lit(2) * total).cast("double") / F.lit(100.0)
+    num, den = F.lit(20000) * part + total, F.lit(2) * total
+    return F.call_function("div", num.cast("bigint"), den.cast("bigint")).cast("double") / F.lit(100.0)

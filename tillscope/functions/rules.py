@@ -16,25 +16,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillscope import schema as S
+from tillscope.functions.money import lost, wide
 
 
 def expected_total(quantity: Column | str = "quantity",
                    unit_price: Column | str = "unit_price") -> Column:
-    """round(quantity * unit_price, 2) on decimals (half up)."""
+    """round(quantity * unit_price, 2) on decimals (half up), from the price as it came."""
     q = F.col(quantity) if isinstance(quantity, str) else quantity
-    p = F.col(unit_price) if isinstance(unit_price, str) else unit_price
-    return F.round(q * p.try_cast(S.MONEY), 2)
+    return F.round(q.cast("decimal(10,0)") * wide(unit_price).try_cast("decimal(26,10)"), 2)
+
+
+def total_mismatch(total: Column | str = "total_amount", expected: Column | str = "expected_total",
+                   unit_price: Column | str = "unit_price") -> Column:
+    """The total, as it came, is more than one cent off, or total or price cannot be held as money."""
+    e = F.col(expected) if isinstance(expected, str) else expected
+    off = F.abs(wide(total) - e) > F.lit(S.TOTAL_TOLERANCE).cast("decimal(4,2)")
+    t = F.col(total) if isinstance(total, str) else total
+    return F.when(lost(total) | (t.isNotNull() & lost(unit_price)), True).otherwise(off)
 
 
 def rejection_rules() -> list[tuple[str, Column]]:
-    """The ordered rejection rules over a frame with ``expected_total``."""
+    """The ordered rejection rules over a frame with ``expected_total`` and the amounts as they came."""
     total = F.col("total_amount")
     return [
         (S.REASON_NULL_TRANSACTION_ID, F.col("transaction_id").isNull()),
         (S.REASON_NULL_STORE_ID, F.col("store_id").isNull()),
         (S.REASON_NEGATIVE_AMOUNT, total < 0),
         (S.REASON_TOTAL_MISMATCH,
-         F.abs(total - F.col("expected_total")) > F.lit(S.TOTAL_TOLERANCE).cast("decimal(4,2)")),
+         total_mismatch()),
         (S.REASON_INVALID_STORE_FORMAT, ~F.col("store_id").rlike(S.STORE_ID_PATTERN)),
     ]
 

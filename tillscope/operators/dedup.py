@@ -12,21 +12,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN = "__dedup_rn"
 
 
+def _orderable(df: DataFrame, column: str) -> Column:
+    """The column, or its text where its type has no order."""
+    kind = df.schema[column].dataType
+    return F.to_json(F.struct(column)) if "map<" in kind.simpleString() else F.col(column)
+
+
 def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str],
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """Keep, per ``keys``, the row greatest by ``latest_by``; ties go to the smallest ``tiebreak``.
 
-    Without a tiebreak that makes the order total, the survivor among
-    equal ``latest_by`` values is arbitrary (as in the audited job, where
-    every row of one micro-batch carries the same ingest time).
+    Rows of one micro-batch share their ingest time, so ties are the normal
+    case.  Without a tiebreak all remaining columns decide, in their order:
+    the survivor then depends on the rows alone, never on their partitioning.
     """
     order = [F.col(c).desc_nulls_last() for c in latest_by]
-    order += [F.col(c).asc_nulls_last() for c in tiebreak]
+    rest = list(tiebreak) or [c for c in df.columns if c not in (*keys, *latest_by)]
+    order += [_orderable(df, c).asc_nulls_last() for c in rest]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

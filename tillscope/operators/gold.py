@@ -1,7 +1,7 @@
 """Gold layer: staging model, daily sales fact, store and product dimensions.
 
-Each model is a DataFrame function over its parent.  Money aggregates run
-over exact BIGINT units (see ``functions.money``); all marts group with a
+Each model is a DataFrame function over its parent.  Money sums
+are exact decimals (see ``functions.money``); all marts group with a
 partial (map-side) aggregate before the shuffle, so a store or product
 that carries a third of all rows still ships one row per map task.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope import schema as S
-from tillscope.functions.money import avg_units_to_cents, to_units, units_to_double
+from tillscope.functions.money import as_money, avg_to_cents, total_of
 
 
 def stg_sales(silver: DataFrame) -> DataFrame:
@@ -38,12 +38,12 @@ def stg_sales(silver: DataFrame) -> DataFrame:
 
 def fct_daily_sales(stg: DataFrame) -> DataFrame:
     """Grain store x day: counts, VALID revenue, voids, rounded mean ticket."""
-    units = to_units("total_amount")
+    amount = as_money("total_amount")
     agg = stg.groupBy("store_id", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        F.sum(F.when(F.col("audit_flag") == S.FLAG_VALID, units).otherwise(F.lit(0))).alias("_valid_units"),
+        total_of(F.when(F.col("audit_flag") == S.FLAG_VALID, amount).otherwise(F.lit(0))).alias("_valid"),
         F.sum(F.when(F.col("audit_flag") == S.FLAG_VOIDED, F.lit(1)).otherwise(F.lit(0))).alias("_voided"),
-        F.sum(units).alias("_units"),
+        total_of(amount).alias("_sum"),
         F.count("total_amount").alias("_n_amounts"),
     )
     return agg.select(
@@ -52,9 +52,9 @@ def fct_daily_sales(stg: DataFrame) -> DataFrame:
         "month",
         "day",
         F.col("transaction_count").cast("bigint").alias("transaction_count"),
-        units_to_double(F.col("_valid_units")).alias("valid_revenue"),
+        F.col("_valid").cast("double").alias("valid_revenue"),
         F.col("_voided").cast("bigint").alias("voided_count"),
-        avg_units_to_cents(F.col("_units"), F.col("_n_amounts")).alias("avg_transaction_value"),
+        avg_to_cents(F.col("_sum"), F.col("_n_amounts")).alias("avg_transaction_value"),
     )
 
 
@@ -71,7 +71,7 @@ def dim_products(stg: DataFrame) -> DataFrame:
     """Per product: times sold, rounded mean price, max and min price."""
     agg = stg.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("times_sold"),
-        F.sum(to_units("unit_price")).alias("_units"),
+        total_of(as_money("unit_price")).alias("_sum"),
         F.count("unit_price").alias("_n"),
         F.max("unit_price").alias("max_price"),
         F.min("unit_price").alias("min_price"),
@@ -79,7 +79,7 @@ def dim_products(stg: DataFrame) -> DataFrame:
     return agg.select(
         "product_id",
         F.col("times_sold").cast("bigint").alias("times_sold"),
-        avg_units_to_cents(F.col("_units"), F.col("_n")).alias("avg_price"),
+        avg_to_cents(F.col("_sum"), F.col("_n")).alias("avg_price"),
         F.col("max_price").cast("double").alias("max_price"),
         F.col("min_price").cast("double").alias("min_price"),
     )

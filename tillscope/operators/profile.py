@@ -12,13 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope import schema as S
-from tillscope.functions.money import (
-    avg_units_to_cents,
-    pct_of_total,
-    round_units_to_cents,
-    to_units,
-)
-from tillscope.functions.rules import expected_total
+from tillscope.functions.money import avg_to_cents, pct_of_total, round_to_cents, total_of, unsummed
+from tillscope.functions.rules import expected_total, total_mismatch
 
 
 def profile_nulls(df: DataFrame, columns: Sequence[str] = ("transaction_id", "store_id", "total_amount")) -> DataFrame:
@@ -43,18 +38,24 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def top_stores_by_revenue(bronze: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k stores over VALID rows: transactions, revenue, mean basket (2 decimals)."""
-    units = to_units("total_amount")
+    """Top-k stores over VALID rows: transactions, revenue, mean basket (2 decimals).
+
+    Sums are exact; a store with an amount that is no money (NaN, infinite)
+    shows the floating-point sum, which is then NaN or infinite too.
+    """
     agg = bronze.filter(F.col("audit_flag") == S.FLAG_VALID).groupBy("store_id").agg(
         F.count(F.lit(1)).alias("transactions"),
-        F.sum(units).alias("_units"),
+        total_of("total_amount").alias("_sum"),
+        unsummed("total_amount").alias("_unsummed"),
+        F.sum(F.col("total_amount").cast("double")).alias("_double"),
         F.count("total_amount").alias("_n"),
     )
     return agg.select(
         "store_id",
         F.col("transactions").cast("bigint").alias("transactions"),
-        round_units_to_cents(F.col("_units")).alias("revenue_eur"),
-        avg_units_to_cents(F.col("_units"), F.col("_n")).alias("avg_basket_eur"),
+        F.when(F.col("_unsummed") > 0, F.col("_double")).otherwise(round_to_cents(F.col("_sum"))).alias("revenue_eur"),
+        F.when(F.col("_unsummed") > 0, F.col("_double") / F.col("_n")).otherwise(
+            avg_to_cents(F.col("_sum"), F.col("_n"))).alias("avg_basket_eur"),
     ).orderBy(F.col("revenue_eur").desc_nulls_last(), F.col("store_id").asc_nulls_first()).limit(k)
 
 
@@ -72,9 +73,7 @@ def check_duplicates(df: DataFrame, key: str = "transaction_id") -> DataFrame:
 
 def check_total_mismatch(df: DataFrame) -> DataFrame:
     """Rows whose total is more than one cent off round(quantity * unit_price, 2)."""
-    exp = expected_total()
-    return df.agg(F.count_if(F.abs(F.col("total_amount").try_cast(S.MONEY) - exp) > F.lit(S.TOTAL_TOLERANCE).cast("decimal(4,2)"))
-                  .cast("bigint").alias("total_mismatches"))
+    return df.agg(F.count_if(total_mismatch(expected=expected_total())).cast("bigint").alias("total_mismatches"))
 
 
 def check_negative(df: DataFrame) -> DataFrame:
@@ -91,11 +90,16 @@ BRONZE_SAMPLE_COLUMNS = ["transaction_id", "store_id", "product_id", "quantity",
 SILVER_SAMPLE_COLUMNS = ["transaction_id", "store_id", "total_amount", "audit_flag", "data_layer"]
 
 
+def row_count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("total_rows"))
+
+
 def bronze_profile_report(bronze: DataFrame) -> dict[str, DataFrame]:
     """The Bronze verification report as DataFrames (empty dict for an empty table)."""
     if bronze.isEmpty():
         return {}
     return {
+        "row_count": row_count(bronze),
         "null_check": profile_nulls(bronze),
         "audit_flag_distribution": distribution(bronze, "audit_flag"),
         "payment_method_distribution": distribution(bronze, "payment_method"),
@@ -109,6 +113,7 @@ def silver_check_report(silver: DataFrame) -> dict[str, DataFrame]:
     if silver.isEmpty():
         return {}
     return {
+        "row_count": row_count(silver),
         "duplicates": check_duplicates(silver),
         "total_mismatches": check_total_mismatch(silver),
         "negative_amounts": check_negative(silver),

@@ -22,6 +22,7 @@ from tillscope import schema as S
 from tillscope.functions.money import as_money
 from tillscope.functions.rules import audit_flag, expected_total, rejection_reason
 from tillscope.operators.dedup import dedup_latest
+from tillscope.sources.runs import new_run, newest_run, publish
 
 
 def clock_column(clock: _dt.datetime | Column | None) -> Column:
@@ -38,7 +39,9 @@ def silver_flagged(bronze: DataFrame, clock: _dt.datetime | Column | None = None
     """Dedup + clean + rule cascade + audit flag, before the valid/reject split.
 
     Columns: ``SILVER_COLUMNS`` + expected_total, rejection_reason, is_valid.
-    Money is DECIMAL(18, 4).
+    The rules judge the amounts as they came; money is narrowed to
+    DECIMAL(18, 4) afterwards, so an amount that does not fit is rejected,
+    never nulled and accepted.
     """
     latest = dedup_latest(bronze, ["transaction_id"], ["ingested_at"], tiebreak)
     ts = F.col("transaction_ts")
@@ -47,11 +50,6 @@ def silver_flagged(bronze: DataFrame, clock: _dt.datetime | Column | None = None
     cleaned = latest.withColumns(
         {
             "transaction_ts": ts,
-            "unit_price": as_money("unit_price"),
-            "total_amount": as_money("total_amount"),
-        }
-    ).withColumns(
-        {
             "expected_total": expected_total(),
             "silver_processed_at": clock_column(clock),
             "data_layer": F.lit(S.LAYER_SILVER),
@@ -59,9 +57,11 @@ def silver_flagged(bronze: DataFrame, clock: _dt.datetime | Column | None = None
     )
     reason = cleaned.withColumn("rejection_reason", rejection_reason())
     return reason.select(
-        *[c for c in S.SILVER_COLUMNS if c != "audit_flag"],
+        *[c for c in S.SILVER_COLUMNS if c not in ("audit_flag", "unit_price", "total_amount")],
+        as_money("unit_price").alias("unit_price"),
+        as_money("total_amount").alias("total_amount"),
         audit_flag().alias("audit_flag"),
-        "expected_total",
+        F.col("expected_total").try_cast(S.MONEY).alias("expected_total"),
         "rejection_reason",
         F.col("rejection_reason").isNull().alias("is_valid"),
     ).select(*S.SILVER_COLUMNS, "expected_total", "rejection_reason", "is_valid")
@@ -75,34 +75,52 @@ def silver_rejects(flagged: DataFrame) -> DataFrame:
     return flagged.filter(~F.col("is_valid")).select(*S.REJECT_COLUMNS)
 
 
-def silver_run_summary(bronze: DataFrame, flagged: DataFrame) -> DataFrame:
-    """One row: bronze_read, duplicates_removed, valid, rejected (bigint).
+SUMMARY_SCHEMA = "bronze_read bigint, duplicates_removed bigint, valid bigint, rejected bigint"
+
 
-    Two one-row aggregates are stacked and summed, so no join is needed.
+def silver_run_summary(bronze: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """One row: bronze_read, duplicates_removed, valid, rejected, from one Bronze scan.
+
+    The input is counted by an ``Observation`` on the pass that
+    deduplicates and judges the rows.
     """
-    zero = F.lit(0).cast("bigint")
-    read = bronze.agg(F.count(F.lit(1)).alias("bronze_read"), zero.alias("deduped"),
-                      zero.alias("valid"), zero.alias("rejected"))
-    after = flagged.agg(zero.alias("bronze_read"), F.count(F.lit(1)).alias("deduped"),
-                        F.count_if(F.col("is_valid")).alias("valid"),
-                        F.count_if(~F.col("is_valid")).alias("rejected"))
-    both = read.unionByName(after).agg(*[F.sum(c).alias(c) for c in ("bronze_read", "deduped", "valid", "rejected")])
-    return both.select(
-        F.col("bronze_read").cast("bigint").alias("bronze_read"),
-        (F.col("bronze_read") - F.col("deduped")).cast("bigint").alias("duplicates_removed"),
-        F.col("valid").cast("bigint").alias("valid"),
-        F.col("rejected").cast("bigint").alias("rejected"),
+    seen = Observation("bronze_in")
+    flagged = silver_flagged(bronze.observe(seen, F.count(F.lit(1)).alias("bronze_read")), tiebreak=tiebreak)
+    n = _class_counts(flagged).first()
+    read = int(seen.get["bronze_read"])
+    return bronze.sparkSession.createDataFrame([(read, read - n["deduped"], n["valid"], n["rejected"])], SUMMARY_SCHEMA)
+
+
+def _class_counts(flagged: DataFrame) -> DataFrame:
+    return flagged.agg(
+        F.count(F.lit(1)).alias("deduped"),
+        F.count_if(F.col("is_valid")).alias("valid"),
+        F.count_if(~F.col("is_valid")).alias("rejected"),
     )
 
 
+def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The newest published Silver, with its declared schema: empty if no run held a valid row."""
+    path = newest_run(spark, silver_path)
+    if path is None:
+        return spark.createDataFrame([], S.SILVER_SCHEMA)
+    return spark.read.schema(S.SILVER_SCHEMA).parquet(path).select(*S.SILVER_COLUMNS)
+
+
+def read_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    path = newest_run(spark, rejects_path)
+    return spark.read.schema(S.REJECTS_SCHEMA).parquet(path) if path else spark.createDataFrame([], S.REJECTS_SCHEMA)
+
+
 def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects_path: str,
                clock: _dt.datetime | None = None, tiebreak: Sequence[str] = (),
-               fmt: str = "parquet", storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
+               storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
     """Write Silver (partitioned by date) and Rejects from one Bronze scan.
 
     Returns the run summary (bronze_read, duplicates_removed, valid,
-    rejected).  Empty input writes nothing, like the audited job.  Rejects
-    is always overwritten, also when empty, so no stale rejects survive.
+    rejected).  Empty input writes nothing, like the audited job.  Each run
+    writes new folders and publishes both when both are complete, so a
+    failed run leaves the tables before it, and an empty one no stale rows.
     """
     clock = clock or _dt.datetime.now(_dt.timezone.utc)
     seen = Observation("bronze_in")
@@ -110,18 +128,18 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects
     flagged = silver_flagged(observed, clock=clock, tiebreak=tiebreak).persist(storage)
     try:
         # the one Bronze scan: materialise the flagged frame and count its classes
-        counts = flagged.agg(
-            F.count(F.lit(1)).alias("deduped"),
-            F.count_if(F.col("is_valid")).alias("valid"),
-            F.count_if(~F.col("is_valid")).alias("rejected"),
-        ).first()
+        counts = _class_counts(flagged).first()
         read = int(seen.get["bronze_read"])
         if read == 0:
             return {"bronze_read": 0, "duplicates_removed": 0, "valid": 0, "rejected": 0}
-        (silver_valid(flagged).hint("rebalance", *S.SILVER_PARTITION_COLUMNS)
-         .write.format(fmt).mode("overwrite")
-         .partitionBy(*S.SILVER_PARTITION_COLUMNS).save(silver_path))
-        silver_rejects(flagged).write.format(fmt).mode("overwrite").save(rejects_path)
+        run, silver_run = new_run(silver_path)
+        rejects_run = f"{rejects_path.rstrip('/')}/runs/run={run}"
+        # new folders: the dynamic partition mode of a session has nothing to keep
+        silver_valid(flagged).hint("rebalance", *S.SILVER_PARTITION_COLUMNS).write.mode("errorifexists") \
+            .partitionBy(*S.SILVER_PARTITION_COLUMNS).parquet(silver_run)
+        silver_rejects(flagged).write.mode("errorifexists").parquet(rejects_run)
+        publish(spark, rejects_path, run)
+        publish(spark, silver_path, run)
     finally:
         flagged.unpersist()
     return {

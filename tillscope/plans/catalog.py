@@ -21,12 +21,12 @@ from tillscope.operators import gold, model_tests, profile, quality
 from tillscope.operators.dedup import dedup_latest
 from tillscope.operators.silver import silver_flagged, silver_rejects, silver_run_summary, silver_valid
 from tillscope.plans.pipeline import run_pipeline
-from tillscope.session import ensure_checkpoint_dir, scratch_path
+from tillscope.session import scratch_path
 from tillscope.sources.bronze import read_bronze, write_bronze_batch
 from tillscope.sources.csv_export import export_csv, read_csv_export
 from tillscope.sources.messages import decode_messages, encode_messages
-from tillscope.sources.posview import POS_TIEBREAK, pos_view, read_table, with_parallelism_floor
-from tillscope.sources.snapshots import read_snapshot, snapshot_history, write_snapshot
+from tillscope.sources.posview import POS_TIEBREAK, pos_view, read_table
+from tillscope.sources.versions import read_version, version_history, write_version
 from tillscope.streaming.ingest import enrich, file_message_source, ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,9 @@ SNAPSHOT_SPLIT_YEAR = 1995
 # snapshot versions are partitioned by year: the test data spread over ~2,400 days
 # would make three day-partitioned versions write ~7,000 folders of a few rows each
 SNAPSHOT_PARTITIONS = ["year"]
+# arguments of the pruned scan
+PRUNED_FROM, PRUNED_TO = _dt.date(1995, 1, 1), _dt.date(1995, 3, 31)
+PRUNED_STORES = [f"NL-00{i}" for i in range(1, 10)]
 
 
 # ---------------------------------------------------------------- helpers
@@ -60,6 +63,12 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _registered(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return comparable(fn(spark, sf_dir))
@@ -87,13 +96,11 @@ def _stg(spark: SparkSession, d: str) -> DataFrame:
 def _models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The four gold models over one materialised staging table.
 
-    Staging is checkpointed (reliably, under ``spark.checkpoint.dir``) so the
-    model tests' several branches read it instead of each re-deriving
-    scan -> joins -> dedup; the pipeline gets the same effect from its
-    written tables.
+    Staging is written once as Parquet under scratch, so the model tests'
+    branches each read the columns they need of it instead of re-deriving
+    scan -> joins -> dedup, as the pipeline does with its written tables.
     """
-    ensure_checkpoint_dir(spark)
-    stg = _stg(spark, d).checkpoint(eager=True)
+    stg = _written(_stg(spark, d), "staging")
     return {
         "stg_sales_transactions": stg,
         "fct_daily_sales": gold.fct_daily_sales(stg),
@@ -109,7 +116,7 @@ def _no_clock(df: DataFrame) -> DataFrame:
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     """POS rows encoded as keyed messages, plus the event stream's JSON as foreign messages."""
     pos = encode_messages(_bronze(spark, d))
-    events = with_parallelism_floor(read_table(spark, d, "events")).select(
+    events = read_table(spark, d, "events").select(
         F.lit(None).cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -137,10 +144,10 @@ def q_bronze_admit(spark, d):
 
 def q_bronze_stream_roundtrip(spark, d):
     root = scratch_path(spark, "stream-roundtrip")
-    _messages(spark, d).repartition(4).write.parquet(f"{root}/topic")
-    src = file_message_source(spark, f"{root}/topic", max_files_per_trigger=2)
+    _messages(spark, d).write.parquet(f"{root}/topic")
+    src = file_message_source(spark, f"{root}/topic")
     q = start_ingest(src, f"{root}/bronze", f"{root}/_checkpoint", trigger={"availableNow": True},
-                     partition_by=S.BRONZE_DATE_PARTITION_COLUMNS, cluster_by_partition=1)
+                     partition_by=S.BRONZE_DATE_PARTITION_COLUMNS)
     q.awaitTermination()
     return read_bronze(spark, f"{root}/bronze").drop("ingested_at")
 
@@ -152,6 +159,13 @@ def q_bronze_partition_scan(spark, d):
     return read_bronze(spark, f"{root}/bronze")
 
 
+def q_bronze_pruned_scan(spark, d):
+    """One year's first quarter of the stores 1 to 9 from the audited layout (date and store arguments are the feature)."""
+    root = scratch_path(spark, "bronze-pruned")
+    write_bronze_batch(_bronze(spark, d).select(*S.BRONZE_COLUMNS), f"{root}/bronze", partition_by=["year", "month", "day"])
+    return read_bronze(spark, f"{root}/bronze", date_from=PRUNED_FROM, date_to=PRUNED_TO, stores=PRUNED_STORES)
+
+
 # ---------------------------------------------------------------- Silver
 def q_silver_dedup_latest(spark, d):
     return dedup_latest(_bronze(spark, d), ["transaction_id"], ["ingested_at"], POS_TIEBREAK) \
@@ -182,8 +196,7 @@ def q_silver_rejects(spark, d):
 
 
 def q_silver_run_summary(spark, d):
-    bronze = _bronze(spark, d)
-    return silver_run_summary(bronze, silver_flagged(bronze, tiebreak=POS_TIEBREAK))
+    return silver_run_summary(_bronze(spark, d), tiebreak=POS_TIEBREAK)
 
 
 # ---------------------------------------------------------------- profiles and checks
@@ -219,6 +232,14 @@ def q_check_negative(spark, d):
     return profile.check_negative(_silver(spark, d))
 
 
+def q_row_count_bronze(spark, d):
+    return profile.row_count(_bronze(spark, d))
+
+
+def q_row_count_silver(spark, d):
+    return profile.row_count(_silver(spark, d))
+
+
 def q_sample_bronze(spark, d):
     return profile.sample(_bronze(spark, d), profile.BRONZE_SAMPLE_COLUMNS)
 
@@ -249,6 +270,10 @@ def q_expectation_report(spark, d):
     return quality.run_suite(_silver(spark, d), quality.silver_suite())
 
 
+def q_suite_success(spark, d):
+    return quality.suite_success(q_expectation_report(spark, d))
+
+
 # ---------------------------------------------------------------- gold
 def q_stg_sales(spark, d):
     return _stg(spark, d)
@@ -275,42 +300,42 @@ def _tests_of(test_type: str | None) -> Query:
 
 
 # ---------------------------------------------------------------- snapshots and export
-def _snapshot_table(spark, d) -> str:
-    """v0 overwrite (years up to the split), v1 append (the rest), v2 overwrite (all rows again)."""
-    path = scratch_path(spark, "snapshot")
-    silver = _silver(spark, d)
+def _versions(spark, d, upto: int) -> tuple[str, DataFrame]:
+    """v0 overwrite (years up to the split), v1 append (the rest), v2 overwrite (all rows again); Silver is computed once."""
+    path = scratch_path(spark, "versions")
+    silver = _written(_silver(spark, d), "silver")
     early = F.coalesce(F.col("year") <= SNAPSHOT_SPLIT_YEAR, F.lit(True))
-    write_snapshot(silver.filter(early), path, mode="overwrite", partition_by=SNAPSHOT_PARTITIONS)
-    write_snapshot(silver.filter(~early), path, mode="append", partition_by=SNAPSHOT_PARTITIONS)
-    write_snapshot(silver, path, mode="overwrite", partition_by=SNAPSHOT_PARTITIONS)
-    return path
+    for rows, mode in [(silver.filter(early), "overwrite"), (silver.filter(~early), "append"), (silver, "overwrite")][:upto + 1]:
+        write_version(rows, path, mode=mode, partition_by=SNAPSHOT_PARTITIONS)
+    return path, silver
+
+
+def _as_of(spark, d, written: int, version: int | None) -> DataFrame:
+    path, silver = _versions(spark, d, written)
+    return _doubles(_no_clock(read_version(spark, path, silver.schema, version)))
 
 
 def q_snapshot_write_append(spark, d):
-    return _doubles(_no_clock(read_snapshot(spark, _snapshot_table(spark, d), version=1)))
+    return _as_of(spark, d, 1, None)
 
 
 def q_snapshot_read_version(spark, d):
-    return _doubles(_no_clock(read_snapshot(spark, _snapshot_table(spark, d), version=0)))
+    return _as_of(spark, d, 2, 0)
 
 
 def q_snapshot_read_latest(spark, d):
-    return _doubles(_no_clock(read_snapshot(spark, _snapshot_table(spark, d))))
+    return _as_of(spark, d, 2, None)
 
 
 def q_snapshot_history(spark, d):
-    return snapshot_history(spark, _snapshot_table(spark, d)).drop("committed_at")
+    return version_history(spark, _versions(spark, d, 2)[0]).drop("written_at")
 
 
 def q_snapshot_version_counts(spark, d):
-    path = _snapshot_table(spark, d)
-    parts = [read_snapshot(spark, path, version=v).agg(F.lit(v).alias("version"),
-                                                       F.count(F.lit(1)).alias("n_rows_as_of"))
+    path, silver = _versions(spark, d, 2)
+    parts = [read_version(spark, path, silver.schema, v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows_as_of"))
              for v in range(3)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def q_csv_export_roundtrip(spark, d):
@@ -333,6 +358,7 @@ _QUERIES: dict[str, Query] = {
     "bronze_admit": q_bronze_admit,
     "bronze_stream_roundtrip": q_bronze_stream_roundtrip,
     "bronze_partition_scan": q_bronze_partition_scan,
+    "bronze_pruned_scan": q_bronze_pruned_scan,
     # silver
     "silver_dedup_latest": q_silver_dedup_latest,
     "silver_clean": q_silver_clean,
@@ -352,6 +378,8 @@ _QUERIES: dict[str, Query] = {
     "check_negative": q_check_negative,
     "sample_bronze": q_sample_bronze,
     "sample_silver": q_sample_silver,
+    "row_count_bronze": q_row_count_bronze,
+    "row_count_silver": q_row_count_silver,
     # contract
     "contract_violations": q_contract_violations,
     "contract_defaults": q_contract_defaults,
@@ -362,6 +390,7 @@ _QUERIES: dict[str, Query] = {
     "expect_regex": _suite_of("expect_column_values_to_match_regex"),
     "expect_row_count": _suite_of("expect_table_row_count_to_be_between"),
     "expectation_report": q_expectation_report,
+    "suite_success": q_suite_success,
     # gold and model tests
     "stg_sales": q_stg_sales,
     "fct_daily_sales": q_fct_daily_sales,

@@ -408,6 +408,13 @@ def oracle_sql() -> dict[str, str]:
     q["test_relationships"] = _tests_sql("relationships")
     q["model_test_report"] = _tests_sql(None)
     # snapshots and export
+    q["row_count_bronze"] = BASE + "SELECT count(*) AS total_rows FROM pos"
+    q["row_count_silver"] = SILVER + "SELECT count(*) AS total_rows FROM silver"
+    q["suite_success"] = SILVER + ("SELECT coalesce(bool_and(success), true) AS success, "
+                                   "CAST(count_if(NOT success) AS BIGINT) AS failed_rules FROM (" + _suite_body() + ") r")
+    q["bronze_pruned_scan"] = q["bronze_partition_scan"] + (
+        " WHERE year = 1995 AND month <= 3 AND store_id IN ('NL-001', 'NL-002', 'NL-003', 'NL-004', 'NL-005', 'NL-006', "
+        "'NL-007', 'NL-008', 'NL-009')")
     q["snapshot_write_append"] = SILVER + f"SELECT {silver_cols} FROM silver"
     q["snapshot_read_latest"] = SILVER + f"SELECT {silver_cols} FROM silver"
     q["snapshot_read_version"] = SILVER + f"SELECT {silver_cols} FROM silver WHERE {_SNAP_EARLY}"

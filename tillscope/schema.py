@@ -24,9 +24,6 @@ from pyspark.sql.types import (
 )
 
 MONEY = DecimalType(18, 4)
-MONEY_SCALE = 4
-# integer money units per currency unit (1 unit = 0.0001)
-UNITS_PER_CURRENCY = 10 ** MONEY_SCALE
 
 # --- fixed values (must equal the audited system's, do not edit) ---------
 PAYMENT_METHODS = ["CARD", "CASH", "CONTACTLESS", "VOUCHER"]
@@ -113,7 +110,11 @@ BRONZE_PARTITION_COLUMNS = ["year", "month", "day", "store_id"]
 # a batch spans many days with few rows per store and day
 BRONZE_DATE_PARTITION_COLUMNS = ["year", "month", "day"]
 
-SILVER_COLUMNS = BRONZE_COLUMNS + ["silver_processed_at"]
+SILVER_SCHEMA = StructType(
+    [StructField(f.name, MONEY if f.name in ("unit_price", "total_amount") else f.dataType) for f in BRONZE_SCHEMA.fields]
+    + [StructField("silver_processed_at", TimestampType())]
+)
+SILVER_COLUMNS = [f.name for f in SILVER_SCHEMA.fields]
 SILVER_PARTITION_COLUMNS = ["year", "month", "day"]
 
 REJECT_COLUMNS = [
@@ -128,6 +129,11 @@ REJECT_COLUMNS = [
     "silver_processed_at",
 ]
 
+REJECTS_SCHEMA = StructType(
+    [StructField(c, MONEY if c == "expected_total" else StringType() if c == "rejection_reason" else SILVER_SCHEMA[c].dataType)
+     for c in REJECT_COLUMNS]
+)
+
 STAGING_COLUMNS = [
     "transaction_id",
     "store_id",

@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # the test tables are files of one row group, which scan as one task: joins beyond this spread them
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

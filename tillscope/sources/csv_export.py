@@ -1,18 +1,21 @@
 """CSV export of a table, written by the executors (no driver round trip).
 
-Options make the text round-trip exactly: timestamps keep microseconds,
-NULL is written as a token so it stays distinct from the empty string.
-Every task writes its own part file; the table never passes through one
-task or the driver (readers take the folder).
+Text comes back as it went out: blanks at either end stay, line breaks,
+carriage returns and zero bytes are written as backslash escapes (so a
+record is one line and files stay splittable), a backslash is doubled,
+and NULL is ``\\N``, which no escaped text can equal.  Timestamps keep
+microseconds.  Every task writes its own part file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 NULL_TOKEN = "\\N"
+ESCAPES = {"\n": "\\n", "\r": "\\r", "\0": "\\0"}
 
 _OPTIONS = {
     "header": "true",
@@ -20,14 +23,37 @@ _OPTIONS = {
     "timestampNTZFormat": TIMESTAMP_FORMAT,
     "nullValue": NULL_TOKEN,
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
 
 
+def _escaped(text: Column) -> Column:
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for raw, written in ESCAPES.items():
+        out = F.replace(out, F.lit(raw), F.lit(written))
+    return out
+
+
+def _restored(text: Column) -> Column:
+    """Undo ``_escaped``: between doubled backslashes, an escape is what it says."""
+    def part(p: Column) -> Column:
+        for raw, written in ESCAPES.items():
+            p = F.replace(p, F.lit(written), F.lit(raw))
+        return p
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write with a header; the empty string is written quoted, NULL as the null token."""
-    df.write.mode(mode).options(**_OPTIONS).csv(path)
+    _texts(df, _escaped).write.mode(mode).options(**_OPTIONS).csv(path)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return (spark.read.schema(schema).options(**_OPTIONS).option("emptyValue", "")
-            .option("mode", "FAILFAST").csv(path))
+    return _texts(spark.read.schema(schema).options(**_OPTIONS).option("emptyValue", "").option("mode", "FAILFAST").csv(path), _restored)

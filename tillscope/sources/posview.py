@@ -44,22 +44,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def with_parallelism_floor(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A single-row-group file scans as one task, and everything up to the
-    first shuffle (broadcast joins, projections, JSON) would run there.
-    Only then is a round-robin exchange added; a large multi-file scan
-    already has enough splits and is left alone (no extra shuffle).
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it alone
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def _pad_no_truncate(n: F.Column, width: int) -> F.Column:
     """Zero-pad to ``width`` digits without cutting longer numbers (``lpad`` alone
     would truncate, so product ids past 99,999 parts would collide)."""
@@ -77,9 +61,9 @@ def _payment_method(priority: F.Column) -> F.Column:
 
 def pos_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped POS rows (``BRONZE_COLUMNS`` + ``POS_TIEBREAK``)."""
-    li = with_parallelism_floor(read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_shipdate"))
+        "l_returnflag", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderpriority")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
@@ -96,7 +80,7 @@ def pos_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_partkey") % CENT_OFF_EVERY_PARTKEY == 0, line_total + F.lit(0.01).cast("decimal(3,2)"))
         .otherwise(line_total)
     )
-    store_no = F.lpad((F.lit(1) + F.col("l_suppkey") % STORE_COUNT).cast("string"), 3, "0")
+    store_no = _pad_no_truncate(F.lit(1) + F.col("l_suppkey") % STORE_COUNT, 3)
     store_id = F.when(F.col("l_partkey") % NULL_STORE_EVERY_PARTKEY == 0, F.lit(None).cast("string")).otherwise(
         F.concat(
             F.when(F.col("l_partkey") % FOREIGN_STORE_EVERY_PARTKEY == 0, F.lit("DE-")).otherwise(F.lit("NL-")),
@@ -113,7 +97,7 @@ def pos_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos = j.select(
         txn_id.alias("transaction_id"),
         store_id.alias("store_id"),
-        F.concat(F.lit("POS-"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")).alias("terminal_id"),
+        F.concat(F.lit("POS-"), _pad_no_truncate(F.col("l_linenumber"), 2)).alias("terminal_id"),
         F.concat(F.lit("EMP-"), (F.lit(CASHIER_BASE) + F.col("l_suppkey") % CASHIER_COUNT).cast("string")).alias("cashier_id"),
         F.concat(F.lit("PROD-"), _pad_no_truncate(F.col("l_partkey"), 5)).alias("product_id"),
         q.alias("quantity"),

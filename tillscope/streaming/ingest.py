@@ -7,10 +7,11 @@ lineage columns → admission filter.  ``start_ingest`` attaches it to an
 append-only, checkpointed, partitioned Parquet sink.
 
 The source is a parameter: ``kafka_source`` builds the broker stream
-with the audited options (latest on first start, checkpoint wins on
-restart, data loss tolerated, 10,000 records per trigger);
+with the audited options as parameters (latest on first start, checkpoint
+wins on restart); lost data fails the query unless it is to be tolerated,
+and a trigger takes all there is unless a limit is given.
 ``file_message_source`` reads a directory of message files with the same
-``key, value, timestamp`` columns, capped per trigger by file count.
+``key, value, timestamp`` columns.
 """
 
 from __future__ import annotations
@@ -24,21 +25,22 @@ from pyspark.sql.streaming import StreamingQuery
 from tillscope import schema as S
 from tillscope.sources.messages import decode_messages
 
-MAX_OFFSETS_PER_TRIGGER = 10000
+CLUSTER_BUCKETS = 8
 TRIGGER_INTERVAL = "30 seconds"
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
                  starting_offsets: str = "latest",
-                 max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
     """Broker topic as a streaming frame (needs the Kafka connector on the classpath)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", "false")
-            .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-            .load())
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap_servers)
+              .option("subscribe", topic)
+              .option("startingOffsets", starting_offsets)
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return reader.load()
 
 
 def file_message_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -88,7 +90,7 @@ def ingest(raw: DataFrame, clock: _dt.datetime | Column | None = None) -> DataFr
 def start_ingest(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str,
                  trigger: dict | None = None,
                  partition_by: list[str] | None = None,
-                 cluster_by_partition: int = 0,
+                 cluster_by_partition: int = CLUSTER_BUCKETS,
                  query_name: str | None = None) -> StreamingQuery:
     """Start the append-only Bronze sink.
 
@@ -99,9 +101,8 @@ def start_ingest(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str,
     at most ``k`` files per batch instead of one per task, and a hot store
     or day is still spread over ``k`` tasks.  The salt hashes the row's own
     id and receive time, so a retried task sends each row to the same place.
-    A micro-batch is bounded by the per-trigger cap (records or files), so
-    ``k=1`` (one file per folder and batch) is safe with a capped source;
-    raise ``k`` for an uncapped backfill.
+    Raise ``k`` for a backfill whose hottest folder holds more than ``k``
+    tasks should write; 0 writes from every task into every folder it meets.
     """
     partition_by = partition_by or S.BRONZE_PARTITION_COLUMNS
     bronze = ingest(raw_stream)
