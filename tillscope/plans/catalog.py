@@ -146,8 +146,9 @@ def q_bronze_stream_roundtrip(spark, d):
     root = scratch_path(spark, "stream-roundtrip")
     _messages(spark, d).write.parquet(f"{root}/topic")
     src = file_message_source(spark, f"{root}/topic")
+    # two tasks a folder: the test rows spread over ~2,400 days of a few dozen rows each
     q = start_ingest(src, f"{root}/bronze", f"{root}/_checkpoint", trigger={"availableNow": True},
-                     partition_by=S.BRONZE_DATE_PARTITION_COLUMNS)
+                     partition_by=S.BRONZE_DATE_PARTITION_COLUMNS, cluster_by_partition=2)
     q.awaitTermination()
     return read_bronze(spark, f"{root}/bronze").drop("ingested_at")
 
