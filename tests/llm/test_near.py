@@ -11,7 +11,7 @@ from itertools import combinations
 import pytest
 
 from tests.llm import cases
-from tillscope.llm import license_scan
+from tillscope.llm import license_scan, minhash
 from tillscope.llm.components import components
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
@@ -72,6 +72,15 @@ def test_near_duplicates_families(spark):
     check_near(spark, [(i * 7 - 100, texts[k]) for i, k in enumerate(order)])
 
 
+@pytest.mark.parametrize("setting", [{"BLOCK": 8, "TRY_HUBS": 0}, {"LOOKS_ALIKE": 1.01}])
+def test_every_link_is_found_either_way(spark, monkeypatch, setting):
+    """Links found in the blocks of a cluster alone, and by the join of buckets alone."""
+    for name, value in setting.items():
+        monkeypatch.setattr(minhash, name, value)
+    texts = family(21, 50, 8) + [cases.prose(s, 60) for s in range(90, 100)]
+    check_near(spark, list(enumerate(texts)))
+
+
 def test_components_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}

@@ -9,14 +9,18 @@
    of plain MinHash give the same number of values.  Bands of two
    permutations (four values) meet with probability s**4; with 40 bands a
    link at s = 0.75 is missed with probability (1 - 0.75**4)**40 < 1e-6.
-3. Stars.  In every band bucket the representatives are held against a
-   few hubs of the bucket (its smallest ids under several orders), the
-   hubs that look nearest in the signatures first.  Confirmed links are
-   joined into components.
-4. Rest.  Every pair of a bucket that still lies in different components
-   is held against the signatures and confirmed.  So no link between
-   different components is lost, and no group of near copies is expanded
-   into all its pairs.
+3. Stars.  In every band bucket the representatives are held against one
+   hub of the bucket.  Pairs that look alike at all join into clusters;
+   each member's nearest hubs are confirmed and join it into components.
+4. Clusters.  Where a cluster holds several components, all pairs between
+   them are compared inside tasks: members are dealt out in blocks, and
+   every two blocks that can hold such a pair meet.  A task gives back one
+   link for each two components it joins, so a large family of texts just
+   under the threshold costs comparisons but no rows.
+   Rest.  Pairs of one bucket in different clusters are held against the
+   signatures within the join, and those that look alike are confirmed.
+   So no link between different components is lost, and no group of near
+   copies is expanded into all its pairs.
 5. Confirmation.  A link counts if its two texts, whole, meet the
    threshold in exact integer arithmetic on their shingle sets.
 
@@ -32,6 +36,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -45,9 +50,15 @@ BANDS, PER_BAND = 40, 2
 PERMUTATIONS = BANDS * PER_BAND
 #: signatures agree in 160 values; a link at 0.75 falls under this share with probability < 1e-6
 LOOKS_NEAR = 0.57
-#: ids are compared after an exclusive or with each of these: three different smallest members of a bucket
-HUB_ORDERS = (0, 0x5A5A5A5A5A5A5A5, 0x3C96A5F0C3695A0)
+#: pairs of a star that agree in this share belong to one cluster
+LOOKS_ALIKE = 0.45
+#: of one bit of every signature value at most so many differ in a link (expected 20, deviation 4.2; six deviations)
+MAX_BITS = 46
 TRY_HUBS = 2
+#: members of a cluster that a block holds
+BLOCK = 256
+#: the hub of a bucket is its smallest id after an exclusive or with this, so that it is not always the same end of the ids
+HUB_ORDER = 0x5A5A5A5A5A5A5A5
 #: word hashes remembered by a worker
 MAX_WORDS = 400_000
 #: ids may be broadcast up to this many (8 bytes each); beyond, they are joined by a shuffle
@@ -108,8 +119,13 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bits(sig: np.ndarray) -> np.ndarray:
+    """One bit of every signature value, packed into 64-bit numbers."""
+    return np.packbits((sig >> np.uint64(50) & np.uint64(1)).astype(np.uint8).reshape(-1, 32), axis=1, bitorder="little").view("<u4").ravel().astype(np.int64)
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set_id (128-bit name of the set), bands, sketch (a byte of every signature value)."""
+    """doc_id, n_shingles, set_id (128-bit name of the set), bands, sketch (a byte of every signature value), bits (a bit of each)."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in steps(batches):
             sets = [shingles(t) for t in texts]
@@ -118,14 +134,15 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                  pa.array([None if g is None else band_keys(g) for g in sigs], pa.list_(pa.int64())),
-                 pa.array([None if g is None else (g >> np.uint64(40)).astype(np.uint8).tobytes() for g in sigs], pa.binary())],
-                ["doc_id", "n_shingles", "set_id", "bands", "sketch"])
+                 pa.array([None if g is None else (g >> np.uint64(40)).astype(np.uint8).tobytes() for g in sigs], pa.binary()),
+                 pa.array([None if g is None else bits(g) for g in sigs], pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "set_id", "bands", "sketch", "bits"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs, task, f"doc_id {id_type}, n_shingles long, set_id binary, bands array<long>, sketch binary", id_col, text_col)
+    return map_texts(docs, task, f"doc_id {id_type}, n_shingles long, set_id binary, bands array<long>, sketch binary, bits array<long>", id_col, text_col)
 
 
-def looks_near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def looks_near(pairs: DataFrame, reps: DataFrame, least: float = LOOKS_NEAR) -> DataFrame:
     """``pairs`` (a, b) whose signatures agree in enough values, with their share as ``near``."""
     side = reps.select("rep", "n_shingles", "sketch")
     both = pairs.join(side.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka")), "a") \
@@ -139,18 +156,22 @@ def looks_near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("ka", "kb"))
             near = (x == y).mean(1)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(near)], ["a", "b", "near"]).filter(
-                pa.array(near >= LOOKS_NEAR))
+                pa.array(near >= least))
 
     kind = pairs.schema["a"].dataType.simpleString()
     return map_arrow(both.select("a", "b", "ka", "kb"), task, f"a {kind}, b {kind}, near double")
 
 
+def wanted_texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents of ``ids``; the ids are broadcast if their counted number allows it, else shuffled."""
+    ids = saved(ids, "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """``pairs`` (a, b) whose whole texts meet the threshold: 100 * common >= 75 * union."""
     pairs = saved(pairs.select("a", "b"), "pairs")
-    ids = saved(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "pair-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.join(wanted, "doc_id", "left_semi")
+    texts = wanted_texts(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), docs)
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").join(
         texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
 
@@ -172,31 +193,74 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return map_arrow(both.select("a", "b", "ta", "tb"), task, f"a {kind}, b {kind}")
 
 
+def linked_in_clusters(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components of each cluster; ``members``: rep, cluster, component, n_shingles, sketch."""
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"), F.count("*").alias("parts")).where(
+        "parts > 1").select("cluster", F.col("m.component").alias("main"), F.ceil(F.col("m.n") / BLOCK).cast("int").alias("closed"),
+                            F.ceil((F.col("all") - F.col("m.n")) / BLOCK).cast("int").alias("open"))
+    # blocks 0 .. open - 1 hold what is not in the largest component, the others hold that; those need no comparison among themselves
+    block = F.when(F.col("component") == F.col("main"), F.col("open") + F.pmod(F.xxhash64("rep"), F.col("closed"))).otherwise(
+        F.pmod(F.xxhash64("rep"), F.col("open"))).cast("int")
+    placed = members.join(saved(main, "open-clusters"), "cluster").withColumn("block", block)
+    others = F.when(F.col("block") < F.col("open"), F.sequence(F.lit(0), F.col("open") + F.col("closed") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("open") - 1))
+    dealt = saved(placed.select("rep", "cluster", "component", "n_shingles", "sketch", "block", F.explode(others).alias("other")).select(
+        "rep", "cluster", "component", "n_shingles", "sketch", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")), "blocks")
+    texts = wanted_texts(dealt.select(F.col("rep").alias("doc_id")).distinct(), docs)
+    kind = dict(members.dtypes)["rep"]
+
+    def task(group: pd.DataFrame) -> pd.DataFrame:
+        ids, n = group["rep"].to_numpy(), group["n_shingles"].to_numpy()
+        root = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
+        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(ids), -1)
+        sets = [shingles(t) for t in group["text"]]
+        every, ends = np.concatenate(sets), np.cumsum([len(x) for x in sets])
+        starts, out = ends - n, []
+        for i in range(len(ids)):
+            later = np.arange(i + 1, len(ids))
+            later = later[(root[later] != root[i]) & (np.minimum(n[later], n[i]) * 100 >= np.maximum(n[later], n[i]) * 75)]
+            later = later[(sketch[later] == sketch[i]).mean(1) >= LOOKS_NEAR]
+            if not len(later):
+                continue
+            flat = np.concatenate([every[starts[j]:ends[j]] for j in later])
+            at = np.minimum(np.searchsorted(sets[i], flat), n[i] - 1)
+            common = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.cumsum(n[later]) - n[later])
+            for j in later[100 * common >= 75 * (n[i] + n[later] - common)]:
+                if root[j] != root[i]:
+                    out.append((ids[i], ids[j]))
+                    root[root == root[j]] = root[i]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    rows = dealt.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    return rows.groupBy("cluster", "lo", "hi").applyInPandas(task, f"a {kind}, b {kind}")
+
+
 def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """(rep, component) of every representative that links with another; steps 3 and 4."""
     rows = reps.select("rep", F.explode("bands").alias("bucket"))
-    orders = [F.min(F.col("rep").bitwiseXOR(F.lit(x).cast("long"))).alias(f"h{k}") for k, x in enumerate(HUB_ORDERS)]
-    hubs = saved(rows.groupBy("bucket").agg(F.count("*").alias("n"), *orders).where("n > 1").select(
-        "bucket", F.array_distinct(F.array(*[F.col(f"h{k}").bitwiseXOR(F.lit(x).cast("long")) for k, x in enumerate(HUB_ORDERS)])).alias("hubs")), "hubs")
+    flip = F.lit(HUB_ORDER).cast("long")
+    hubs = saved(rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.col("rep").bitwiseXOR(flip)).alias("h")).where("n > 1").select(
+        "bucket", F.col("h").bitwiseXOR(flip).alias("hub")), "hubs")
     met = saved(rows.join(hubs, "bucket"), "met")
-    stars = met.select("rep", F.explode("hubs").alias("hub")).where("hub != rep").select(
-        F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = saved(looks_near(stars, reps), "stars")
+    stars = met.where("hub != rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    alike = saved(looks_near(stars, reps, LOOKS_ALIKE), "stars")
     best = Window.partitionBy("b").orderBy(F.desc("near"), "a")
-    first = saved(confirmed(tried.withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= TRY_HUBS), docs), "links")
-    found = saved(components(first), "star-components")
+    first = saved(confirmed(alike.where(F.col("near") >= LOOKS_NEAR).withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= TRY_HUBS), docs), "links")
+    label = lambda links, name: components(links).select(F.col("id").alias("rep"), F.col("component").alias(name))
+    clusters = saved(label(alike, "cluster"), "clusters")
+    members = clusters.join(label(first, "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    inside = saved(linked_in_clusters(saved(members.join(reps.select("rep", "n_shingles", "sketch"), "rep"), "members"), docs), "links")
     # what a bucket still holds apart
-    labelled = met.select("bucket", "rep").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    apart = saved(labelled.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("bucket"), "apart")
-    open_rows = saved(labelled.join(apart, "bucket").join(reps.select("rep", "n_shingles"), "rep"), "open")
-    x = open_rows.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-    y = open_rows.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
-    cross = x.join(y, "bucket").where("a < b and ca != cb and least(na, nb) * 100 >= greatest(na, nb) * 75").select("a", "b").distinct()
-    rest = saved(confirmed(looks_near(cross, reps).join(first, ["a", "b"], "left_anti"), docs), "links")
-    if rest.isEmpty():
-        return found.select(F.col("id").alias("rep"), "component")
-    return components(first.unionByName(rest)).select(F.col("id").alias("rep"), "component")
+    labelled = met.select("bucket", "rep").join(clusters, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
+    apart = saved(labelled.groupBy("bucket").agg(F.min("cluster").alias("_lo"), F.max("cluster").alias("_hi")).where("_lo < _hi").select("bucket"), "apart")
+    open_rows = saved(labelled.join(apart, "bucket").join(reps.select("rep", "n_shingles", "bits"), "rep"), "open")
+    x, y = (open_rows.select("bucket", F.col("rep").alias(r), F.col("cluster").alias(f"c{r}"), F.col("n_shingles").alias(f"n{r}"), F.col("bits").alias(f"k{r}")) for r in "ab")
+    differ = sum((F.bit_count(F.element_at("ka", k + 1).bitwiseXOR(F.element_at("kb", k + 1))) for k in range(2 * PERMUTATIONS // 32)), F.lit(0))
+    cross = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (
+        F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 75) & (differ <= MAX_BITS)).select("a", "b").distinct()
+    rest = saved(confirmed(looks_near(cross, reps), docs), "links")
+    return components(first.unionByName(inside).unionByName(rest)).select(F.col("id").alias("rep"), "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,7 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = saved(signatures(docs), "signatures")
     classes = saved(sigs.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep")), "classes")
     reps = saved(sigs.where("set_id is not null").join(classes.select(F.col("rep").alias("doc_id"), "set_id"), ["doc_id", "set_id"], "left_semi")
-                 .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch"), "reps")
+                 .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch", "bits"), "reps")
     joined = near_links(reps, docs)
     groups = saved(classes.join(joined, "rep", "left").select("set_id", F.coalesce("component", "rep").alias("_c")), "groups")
     return sigs.select("doc_id", "n_shingles", "set_id").join(groups, "set_id", "left").select(
