@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tillscope.session import scratch_path
 
 #: texts per step inside a Python task: bounds the token lists held at once
 TEXTS_PER_STEP = 256
-CHARS_PER_STEP = 2_000_000
+BYTES_PER_STEP = 2_000_000
 
 
 _shipped: set[str] = set()  # applications that have the package on their executors
@@ -54,17 +55,19 @@ def text_of(col: str) -> Column:
 
 
 def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut (id..., text) batches into steps of bounded size; the text is the last column."""
+    """Cut (id..., text) batches into steps of bounded size; the text is the last column.
+
+    Only one step's texts are Python strings at a time, whatever a batch holds.
+    """
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+        column = batch.column(batch.num_columns - 1)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         lo, size = 0, 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if i + 1 - lo >= TEXTS_PER_STEP or size >= CHARS_PER_STEP:
-                yield batch.slice(lo, i + 1 - lo), texts[lo:i + 1]
+        for i, n in enumerate(sizes):
+            size += n
+            if i + 1 - lo >= TEXTS_PER_STEP or size >= BYTES_PER_STEP or i + 1 == len(sizes):
+                yield batch.slice(lo, i + 1 - lo), [t or "" for t in column.slice(lo, i + 1 - lo).to_pylist()]
                 lo, size = i + 1, 0
-        if lo < len(texts):
-            yield batch.slice(lo), texts[lo:]
 
 
 def map_texts(docs: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
