@@ -3,13 +3,15 @@
 Every statement is built from the same CTE chain: ``pos`` (the POS view
 over lineitem ⋈ orders ⋈ part), ``dedup``, ``flagged``, ``silver``,
 ``stg``.  Money is compared exactly: aggregates run over BIGINT units of
-0.0001 and round half away from zero in integers, the same arithmetic
-the Spark side uses.
+0.0001 and round half away from zero in integers (the test tables' sums
+fit them; the Spark side sums wide decimals).
 """
 
 from __future__ import annotations
 
 # --- fixed values shared with the Spark side (see tillscope.schema / posview) ---
+_LINEAGE = "'resa-kafka-bronze' AS pipeline_name, 'POS_KAFKA_STREAM' AS source_system, 'BRONZE' AS data_layer"
+
 _POS = """
 pos0 AS (
   SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_returnflag, l.l_shipdate,
@@ -53,9 +55,7 @@ pos AS (
     CAST(month(o_orderdate) AS INTEGER) AS month,
     CAST(day(o_orderdate) AS INTEGER) AS day,
     l_shipdate AS ingested_at,
-    'resa-kafka-bronze' AS pipeline_name,
-    'POS_KAFKA_STREAM' AS source_system,
-    'BRONZE' AS data_layer,
+    """ + _LINEAGE + """,
     l_partkey AS src_partkey, l_suppkey AS src_suppkey, l_orderkey AS src_orderkey, l_linenumber AS src_linenumber
   FROM pos1
 )"""
@@ -193,7 +193,7 @@ enriched AS (
          CAST(year(CAST(transaction_ts AS TIMESTAMP)) AS INTEGER) AS year,
          CAST(month(CAST(transaction_ts AS TIMESTAMP)) AS INTEGER) AS month,
          CAST(day(CAST(transaction_ts AS TIMESTAMP)) AS INTEGER) AS day,
-         'resa-kafka-bronze' AS pipeline_name, 'POS_KAFKA_STREAM' AS source_system, 'BRONZE' AS data_layer
+         """ + _LINEAGE + """
   FROM msgs
 )"""
 MSG = _with(_POS, _MESSAGES)
