@@ -60,7 +60,7 @@ BLOCK = 256
 #: the hub of a bucket is its smallest id after an exclusive or with this, so that it is not always the same end of the ids
 HUB_ORDER = 0x5A5A5A5A5A5A5A5
 #: word hashes remembered by a worker
-MAX_WORDS = 400_000
+MAX_WORDS = 100_000
 #: ids may be broadcast up to this many (8 bytes each); beyond, they are joined by a shuffle
 BROADCAST_IDS = 2_000_000
 

@@ -56,7 +56,7 @@ class ByteIds:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         of_char = {c: b for b, c in P.byte_alphabet().items()}
-        self.library = tokenizers.Tokenizer.from_file(path)
+        self.path = path
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = P.special_pattern(self.specials)
         # ranks of a byte-level BPE are its ids where those follow the merges
@@ -64,6 +64,11 @@ class ByteIds:
         self.fast = tiktoken.Encoding("pieces", pat_str=P.BYTE_PATTERN.pattern, mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, bytes] = {}
 
+    @functools.cached_property
+    def library(self) -> tokenizers.Tokenizer:
+        """Only texts with a special string need it."""
+        return tokenizers.Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> bytes:
         if self.special is not None and self.special.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -24,7 +24,7 @@ _IRREGULAR = re.compile(r"^ |\s | (?:\s|$)")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 #: a worker forgets its pieces beyond this many (a bound on memory, never on results)
-MAX_PIECES = 600_000
+MAX_PIECES = 150_000
 
 
 def space_pieces(text: str) -> list[str]:

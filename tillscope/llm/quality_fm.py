@@ -36,7 +36,7 @@ WORD_BITS = 14
 FACTORS = 8
 MAX_TRAIN = 4000
 BINS = 16
-MAX_WORDS = 300_000  # word buckets remembered by a worker
+MAX_WORDS = 100_000  # word buckets remembered by a worker
 
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _STOP, _SYMBOL, _HIGH = range(8)
 _CLASS = np.full(256, _SYMBOL, np.uint8)
