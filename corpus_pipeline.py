@@ -18,6 +18,7 @@ from tillscope.llm.line_dedup import BROADCAST_ROWS, dedup_lines
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.packing import pack
 from tillscope.llm.quality_fm import keep_quality, train
+from tillscope.llm.queries import LINE_BOUND
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier line repeats; a document that keeps no line with text goes."""
-    done = dedup_lines(docs)
+    done = dedup_lines(docs, **LINE_BOUND)
     changed = F.col("n_removed") > 0
     new = {"text": F.when(changed, F.col("text")).otherwise(F.col("row.text")),
            "n_chars": F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars"))}

@@ -15,6 +15,7 @@ from tillscope.llm import license_scan, minhash
 from tillscope.llm.components import components
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
+from tillscope.llm.queries import LINE_BOUND
 from tillscope.llm.spotsigs import edited_fingerprints, near_pairs
 
 
@@ -133,6 +134,43 @@ def test_line_dedup_edits(spark):
     check_lines(spark, rows)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, last = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+    return row[-1]
+
+
+def test_line_dedup_bound_grows_with_length(spark):
+    """Lines of 4 to 60 words, changed by up to five edits, against the distances of all pairs."""
+    r, rows = random.Random(7), []
+    for i in range(30):
+        lines = []
+        for _ in range(5):
+            w = cases.prose(r.randrange(5), r.choice([4, 5, 9, 10, 19, 20, 60])).split()
+            for _ in range(r.randrange(6)):
+                at = r.randrange(len(w))
+                w[at:at + 1] = r.choice([[], ["new", w[at]], [f"y{r.randrange(3)}"], [f"y{r.randrange(3)}"]]) if len(w) > 3 else [w[at]]
+            lines.append(" ".join(w))
+        rows.append((i, "\n".join(lines)))
+    got = {x.doc_id: x.text for x in dedup_lines(cases.table(spark, rows), **LINE_BOUND).collect()}
+    seen, far = [], 0
+    for i, text in rows:
+        stay = []
+        for line in text.split("\n"):
+            a = line.split(" ")
+            bound = lambda b: min(4, max(1, min(len(a), len(b)) // 5)) if max(len(a), len(b)) >= 4 else 0
+            d = [(edits(a, b), bound(b)) for b in seen if abs(len(a) - len(b)) <= 4]
+            near = any(x <= most for x, most in d)
+            far += near and min(x for x, _ in d) > 1
+            stay += [] if near else [line]
+            seen.append(a)
+        assert got[i] == "\n".join(stay), i
+    assert far > 10
+
+
 def test_licenses_against_duckdb(spark, tmp_path):
     import duckdb
     rows = cases.distinct_ids() + [(100 + k, cases.prose(k, 30) + "\n" + t.replace("free", "FREE!") + " " + cases.prose(k, 30))

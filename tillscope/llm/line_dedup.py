@@ -1,26 +1,25 @@
-"""Line dedup by a deletion-neighbourhood join, in DataFrame operations only.
+"""Line dedup by shared segments, in DataFrame operations only.
 
 Lines are compared trimmed and in lower case.  A line goes if an earlier
 line (smaller document id, then line number) equals it, or, from
-``min_words`` words on, lies within an edit distance of one word: one word
-replaced, left out or put in.  Blank lines always stay.
+``min_words`` words on, lies within a bounded edit distance in words: one
+word for short lines, one more for each ``words_per_edit`` words of the
+shorter line, ``max_edits`` at most.  Blank lines always stay.
 
 1. Equal lines meet by a 128-bit hash; the earliest position is a partial
    aggregate, so a line that a third of all documents share crosses the
    shuffle as one row per task.
-2. Pruning.  Two lines within one edit share their first or their last
-   half, word for word.  Only lines that share a half with a different
-   line can have a partner; this drops no pair.
-3. Deletion neighbourhood.  Of those lines every variant with one word
-   deleted is emitted as a hashed key.  The keys are running exclusive-ors
-   of (place, word) hashes, so a line of n words costs n steps, not n*n.
-4. Join.  Variants with the same word deleted at the same place meet in
-   one bucket, whose lines are all within one edit of each other: its
-   earliest line is the partner of all others.  A variant also meets the
-   line that equals it.  Both joins grow with the number of variants, not
-   of pairs.
-5. The word-level edit distance of every pair is verified on the lines
-   themselves, and the earliest is kept.
+2. Segments.  k edits leave one of k + 1 disjoint segments of the shorter
+   line whole, with no more edits before it than segments before it, and
+   no more behind it than segments behind it.  So a line emits its own
+   segments and, for each length a shorter partner may have, the few runs
+   of words that can be one of the partner's segments.  This drops no pair.
+3. Only keys that are a segment of one line and a run of another go on,
+   and only their lines are read again.
+4. The candidate pairs are held against each other as strings of one
+   hashed character a word, whose distance is never above the lines' own.
+5. The word-level edit distance of every pair that is left is verified on
+   the lines themselves.
 
 Null and empty texts stay as they are; rows that repeat an id are one
 document and fare alike; ids are integers (a row with a null id stays as
@@ -30,7 +29,9 @@ in one struct, so their names cannot clash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.common import saved, text_of
@@ -52,15 +53,45 @@ def _lines(docs: DataFrame) -> DataFrame:
         "doc_id", "line_no", _position(F.col("doc_id"), F.col("line_no")).alias("pos"), "line")
 
 
-def _halves(min_words: int) -> Column:
-    """Hashes of the first and the last half, for a partner that is not shorter and for one that is a word shorter."""
-    n = F.col("n")
-    keys = []
-    for shorter in (n, n - 1):
-        half = F.floor(shorter / 2).cast("int")
-        keys += [F.xxhash64(F.lit("first"), shorter, F.call_function("substring_index", F.col("line"), F.lit(" "), half)),
-                 F.xxhash64(F.lit("last"), shorter, F.call_function("substring_index", F.col("line"), F.lit(" "), -half))]
-    return F.when(n >= min_words - 1, F.array(*keys))
+def _edits(n: Column, max_edits: int, words_per_edit: int) -> Column:
+    """How many words a partner of at least as many words may differ in from a line of ``n`` words."""
+    return F.least(F.lit(max_edits), F.greatest(F.lit(1), F.floor(n / words_per_edit).cast("int")))
+
+
+def _segment_words(n: Column, edits: Column) -> Column:
+    """Words in each of ``edits`` + 1 segments; rounded down for long lines, so that lines of like length have equal segments."""
+    whole = F.floor(n / (edits + 1)).cast("int")
+    return whole - F.pmod(whole, F.greatest(F.lit(1), F.floor(whole / 4).cast("int")))
+
+
+def _segments(min_words: int, max_edits: int, words_per_edit: int) -> tuple[Column, Column]:
+    """(key, own) of a line's segments (own) and of its runs of words that can be a segment of a shorter partner; and the
+    (edits, words in a segment) of each partner's length, to be held as ``partners``."""
+    # a partner shorter by ``less``, its segment ``i``, which stands ``by`` words further on in this line, and the edits this takes
+    places = [(less, i, by, i + abs(by - less)) for less in range(max_edits + 1) for i in range(max_edits + 1) for by in range(-i, i + 1)
+              if i + abs(by - less) <= max_edits]
+    literal = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(("less", "i", "by", "need"), p)]) for p in places])
+    edits = [_edits(F.col("n") - less, max_edits, words_per_edit) for less in range(max_edits + 1)]
+    partner = F.array(*[F.struct(e.alias("k"), _segment_words(F.col("n") - less, e).alias("m")) for less, e in enumerate(edits)])
+
+    def key(place: Column, c: Column) -> Column:
+        start = place["i"] * c["m"] + place["by"]
+        fits = (c["m"] > 0) & (place["need"] <= c["k"]) & (start >= 0) & (start + c["m"] <= F.col("n"))
+        own = (place["less"] == 0) & (place["by"] == 0)
+        return F.when(fits & (own | (F.col("n") >= min_words)), F.struct(
+            F.xxhash64(c["k"], place["i"], F.slice("hashes", F.greatest(start, F.lit(0)) + 1, F.greatest(c["m"], F.lit(0)))).alias("key"), own.alias("own")))
+
+    keys = F.array_distinct(F.array_compact(F.transform(literal, lambda p: key(p, F.element_at("partners", p["less"] + 1)))))
+    return F.when(F.col("n") >= min_words - max_edits, keys), partner
+
+
+def _as_string(words: Column, code: Callable[[Column], Column]) -> Column:
+    """The words as one character each, from numbers below a million (behind the surrogates)."""
+    return F.decode(F.unhex(F.array_join(F.transform(words, lambda w: F.lpad(F.hex(code(w) + 0xE000), 8, "0")), "")), "UTF-32")
+
+
+def _hashed(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(1_000_000))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -68,62 +99,48 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _variants(texts: DataFrame) -> DataFrame:
-    """Every line's words with the keys of the variant that lacks the word: ``swap`` and ``drop``."""
-    words = texts.select("pos", "n", F.posexplode(F.split("line", " ")).alias("i", "w"))
-    hashed = words.select("pos", "n", "i", F.xxhash64("i", "w").alias("here"), F.xxhash64(F.col("i") - 1, F.col("w")).alias("moved"))
-    line = Window.partitionBy("pos")
-    before = line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    summed = hashed.select(
-        "pos", "n", "i", "here",
-        F.bit_xor("here").over(whole).alias("full"),
-        F.bit_xor("here").over(before).bitwiseXOR(F.col("here")).alias("head"),
-        F.bit_xor("moved").over(whole).bitwiseXOR(F.bit_xor("moved").over(before)).alias("tail"))
-    return summed.select("pos", "full", F.xxhash64("n", "i", F.col("full").bitwiseXOR(F.col("here"))).alias("swap"),
-                         F.xxhash64(F.col("n") - 1, F.col("head").bitwiseXOR(F.col("tail"))).alias("drop"),
-                         F.xxhash64("n", "full").alias("whole"), "i")
-
-
-def _within_one(a: Column, b: Column) -> Column:
-    """The word arrays are within one edit: what differs behind their common head is one word at most."""
-    differ = lambda x, y: F.size(F.filter(F.zip_with(x, y, lambda p, q: ~p.eqNullSafe(q)), lambda d: d))
-    # the first place where they differ, counted from the front and from the back
-    head = F.coalesce(F.array_position(F.zip_with(a, b, lambda p, q: ~p.eqNullSafe(q)), True), F.lit(0))
-    tail = F.coalesce(F.array_position(F.zip_with(F.reverse(a), F.reverse(b), lambda p, q: ~p.eqNullSafe(q)), True), F.lit(0))
-    longest = F.greatest(F.size(a), F.size(b))
-    return F.when(F.size(a) == F.size(b), differ(a, b) <= 1).otherwise(
-        (F.abs(F.size(a) - F.size(b)) == 1) & ((head - 1) + (tail - 1) >= longest - 1))
-
-
-def near_lines(lines: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
-    """pos of the first occurrence of every line that an earlier line lies within one edit of."""
-    keyed = lines.where("halves is not null")
-    shared = saved(keyed.select("h1", F.explode("halves").alias("half")).groupBy("half").agg(
-        F.min("h1").alias("_lo"), F.max("h1").alias("_hi")).where("_lo != _hi").select("half"), "halves")
-    first = saved(keyed.select("h1", "h2", "pos", F.explode("halves").alias("half")).join(_small(shared), "half", "left_semi")
-                  .groupBy("h1", "h2").agg(F.min("pos").alias("pos")).select("pos"), "candidates")
-    texts = saved(_lines(docs).join(_small(first), "pos", "left_semi").dropDuplicates(["pos"]).select(
-        "pos", "line", F.size(F.split("line", " ")).alias("n")), "candidate-lines")
-    variants = saved(_variants(texts), "variants")
-    earliest = saved(variants.groupBy("swap").agg(F.min("pos").alias("early"), F.max("pos").alias("_late")).where("early < _late").select("swap", "early"), "buckets")
-    swapped = variants.select("swap", "pos").join(earliest, "swap").where("early < pos").select("early", "pos")
-    whole = variants.where("i = 0").select(F.col("whole").alias("drop"), F.col("pos").alias("other"))
-    dropped = variants.select("drop", "pos").join(whole, "drop").where("other != pos").select(
-        F.least("pos", "other").alias("early"), F.greatest("pos", "other").alias("pos"))
-    pairs = saved(swapped.unionByName(dropped).distinct(), "line-pairs")
-    words = texts.where(F.col("n") >= min_words - 1).select("pos", F.split("line", " ").alias("words"))
-    return pairs.join(words, "pos").join(words.select(F.col("pos").alias("early"), F.col("words").alias("words_early")), "early").where(
-        (F.greatest(F.size("words"), F.size("words_early")) >= min_words) & _within_one(F.col("words"), F.col("words_early"))).select("pos").distinct()
-
-
-def dedup_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _within(a: Column, b: Column, edits: Column) -> Column:
+    """The two strings lie within ``edits`` characters."""
+    return F.call_function("levenshtein", a, b, edits) >= 0
+
+
+def near_lines(lines: DataFrame, docs: DataFrame, min_words: int, max_edits: int, words_per_edit: int) -> DataFrame:
+    """pos of the first occurrence of every line that an earlier line lies within the bound of."""
+    keyed = lines.where("keys is not null")
+    shared = saved(keyed.select("h1", F.inline("keys")).groupBy("key").agg(
+        F.min("h1").alias("_lo"), F.max("h1").alias("_hi"), F.max("own").alias("_own")).where("_lo != _hi and _own").select("key"), "shared-segments")
+    first = saved(keyed.select("h1", "h2", "pos", "n", F.inline("keys")).join(_small(shared), "key", "left_semi")
+                  .groupBy("h1", "h2", "n", "key").agg(F.min("pos").alias("pos"), F.max("own").alias("own")), "candidates")
+    lowest = first.groupBy("h1", "h2").agg(F.min("pos").alias("pos"))
+    texts = saved(_lines(docs).join(_small(saved(lowest.select("pos"), "candidate-lines")), "pos", "left_semi").dropDuplicates(["pos"]).select(
+        "pos", "line", F.size(F.split("line", " ")).alias("n"), _as_string(F.split("line", " "), _hashed).alias("chars")), "candidate-texts")
+    a = first.where("own").select("key", F.col("pos").alias("a"), F.col("n").alias("na"))
+    b = first.select("key", F.col("pos").alias("b"), F.col("n").alias("nb"))
+    bound = _edits(F.least("na", "nb"), max_edits, words_per_edit)
+    pairs = a.join(b, "key").where((F.col("a") != F.col("b")) & (F.greatest("na", "nb") >= min_words) & (F.abs(F.col("na") - F.col("nb")) <= bound)).select(
+        F.least("a", "b").alias("early"), F.greatest("a", "b").alias("pos"), bound.alias("bound")).distinct()
+    side = lambda pos, *cols: texts.select(F.col("pos").alias(pos), *[F.col(c).alias(f"{c}_{pos}") for c in cols])
+    likely = saved(pairs.join(side("pos", "chars"), "pos").join(side("early", "chars"), "early").where(
+        _within(F.col("chars_pos"), F.col("chars_early"), F.col("bound"))).select("early", "pos", "bound"), "line-pairs")
+    words = likely.join(side("pos", "line", "chars"), "pos").join(side("early", "line", "chars"), "early").select(
+        "pos", "bound", "chars_pos", "chars_early", F.split("line_pos", " ").alias("x"), F.split("line_early", " ").alias("y")).withColumn(
+        "known", F.array_distinct(F.concat("x", "y")))
+    # distinct words with distinct hashes: the distance of the hashed strings is the lines' own; else number the words
+    told_apart = F.size(F.array_distinct(F.transform("known", _hashed))) == F.size("known")
+    numbered = lambda c: _as_string(F.col(c), lambda w: F.array_position(F.col("known"), w))
+    return words.where(F.when(told_apart, True).otherwise(_within(numbered("x"), numbered("y"), F.col("bound")))).select("pos").distinct()
+
+
+def dedup_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1,
+                words_per_edit: int = 5) -> DataFrame:
     """doc_id, n_lines, n_removed, text (without the lines that go), row (struct of all input columns)."""
+    keys, partners = _segments(min_words, max_edits, words_per_edit)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
-    lines = saved(_lines(rows).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).select(
-        "doc_id", "line_no", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"),
-        _halves(min_words).alias("halves")), "lines")
-    near = saved(near_lines(lines, rows, min_words), "near-lines")
+    hashed = _lines(rows).withColumn("hashes", F.transform(F.split("line", " "), lambda w: F.xxhash64(w))).withColumn("n", F.size("hashes"))
+    lines = saved(hashed.withColumn("partners", partners).select(
+        "doc_id", "line_no", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), "n",
+        keys.alias("keys")), "lines")
+    near = saved(near_lines(lines, rows, min_words, max_edits, words_per_edit), "near-lines")
     first = saved(lines.groupBy("h1", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("_n")).join(
         near.select(F.col("pos").alias("first"), F.lit(True).alias("_near")), "first", "left").where("_n > 1 or _near").select(
         "h1", "h2", "first", F.coalesce("_near", F.lit(False)).alias("gone")), "repeated-lines")

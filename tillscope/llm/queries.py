@@ -26,8 +26,12 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+#: lines from four words on; one word in five may differ, four at most
+LINE_BOUND = {"min_words": 4, "max_edits": 4, "words_per_edit": 5}
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents")).drop("row")
+    return dedup_lines(table(spark, sf_dir, "documents"), **LINE_BOUND).drop("row")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
