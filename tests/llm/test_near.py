@@ -16,7 +16,7 @@ from tillscope.llm.components import components
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
 from tillscope.llm.queries import LINE_BOUND
-from tillscope.llm.spotsigs import edited_fingerprints, near_pairs
+from tillscope.llm.spotsigs import edited_fingerprints, near_pairs, with_signatures
 
 
 def roots(ids, links):
@@ -204,6 +204,19 @@ def test_fingerprints(spark):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
 
 
+def test_fingerprints_of_texts_without_listed_anchors(spark):
+    """Long texts that share their first words only differ; a copy with one changed word stays alike; short ones differ too."""
+    r = random.Random(9)
+    long = ["начало текста " + " ".join(f"слово{r.randrange(10**6)}" for _ in range(200)) for _ in range(2)]
+    changed = long[0].split()
+    changed[100] = "другое"
+    texts = [*long, " ".join(changed), "header row x1 y2", "header row z3 q4"]
+    got = [set(s.s) for s in with_signatures(spark.createDataFrame(list(enumerate(texts)), "i long, t string"), "t", "s").orderBy("i").collect()]
+    assert min(len(s) for s in got[:3]) > 25
+    assert len(got[0] & got[1]) <= 1 and len(got[0] & got[2]) >= 0.8 * len(got[0] | got[2])
+    assert got[3] != got[4]
+
+
 def test_near_pairs_by_length(spark):
     r = random.Random(5)
     base = [sorted(r.sample(range(1000), n)) for n in (3, 20, 21, 40) for _ in range(4)]

@@ -2,10 +2,13 @@
 
 A signature starts at a common word (an anchor) and chains the next
 ``CHAIN`` content words, leaving out common words between them.  The start
-of a text counts as an anchor too.  A document's fingerprint is the set of
-its signature hashes, written as sorted hexadecimal; a text with words but
-no whole chain, or with neither letters nor digits, has its own hash as
-the one signature; the empty text has none.
+of a text counts as an anchor too.  A text with fewer chains from common
+words than one in ``SPARSE`` characters (other languages, code, tables) also
+chains from content words of its own, one in ``EVERY``, chosen by a hash;
+the chosen word belongs to the signature.  A document's fingerprint is the
+set of its signature hashes, written as sorted hexadecimal; a text with no
+chain but that of its start also has its own hash as a signature, without
+any chain it has that one alone; the empty text has none.
 
 Sets are compared by Jaccard.  Two sets can only reach a likeness t if the
 smaller is at least t times the larger, so ``near_pairs`` deals sets out by
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 from tillscope.llm.common import saved, text_of
 
 CHAIN = 2
+#: characters per chain from common words beyond which a text also chains from its own words, and one in how many of them
+SPARSE, EVERY = 150, 4
 
 # fixed values: frequent function words of English, German, French and Spanish; the first of each language are anchors
 ANCHORS = (
@@ -57,9 +62,18 @@ PER_BUCKET, MAX_SPLITS = 500, 256
 def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the sorted distinct signature hashes of the column ``text`` as ``out``."""
     chains = F.regexp_extract_all(F.concat(F.lit(f"{_START} "), F.lower(text)), F.lit(_CHAINS), F.lit(1))
-    hashed = df.withColumn(out, F.transform(chains, lambda s: F.hash(F.regexp_replace(s, _SKIP, " "))))
-    return hashed.withColumn(out, F.when(F.col(text) == "", F.array().cast("array<int>")).when(
-        F.size(out) == 0, F.array(F.hash(text))).otherwise(F.sort_array(F.array_distinct(out))))
+    chained = df.withColumn(out, chains).withColumn("_listed", F.size(F.filter(out, lambda s: ~s.startswith(_START))))
+    sparse = F.col("_listed") * SPARSE < F.char_length(text)
+    content = F.filter(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)), lambda w: ~w.isin(COMMON))
+    chained = chained.withColumn("_content", F.when(sparse, content).otherwise(F.array().cast("array<string>")))
+    # every content word with the CHAIN words behind it
+    runs = F.arrays_zip("_content", *[F.slice("_content", k + 1, F.size("_content")) for k in range(1, CHAIN + 1)])
+    own = F.filter(runs, lambda r: r[str(CHAIN)].isNotNull() & (F.pmod(F.xxhash64(r["_content"]), F.lit(EVERY)) == 0))
+    own = F.transform(own, lambda r: F.hash(F.lit("own"), r["_content"], *[r[str(k)] for k in range(1, CHAIN + 1)]))
+    hashed = chained.withColumn("_own", own).withColumn(out, F.transform(out, lambda s: F.hash(F.regexp_replace(s, _SKIP, " "))))
+    whole = F.when((F.col("_listed") == 0) & (F.size("_own") == 0), F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
+    return hashed.withColumn(out, F.when(F.col(text) == "", F.array().cast("array<int>")).otherwise(
+        F.sort_array(F.array_distinct(F.concat(out, "_own", whole))))).drop("_listed", "_content", "_own")
 
 
 def fingerprint(signatures: Column | str) -> Column:
