@@ -9,6 +9,9 @@
    of plain MinHash give the same number of values.  Bands of two
    permutations (four values) meet with probability s**4; with 40 bands a
    link at s = 0.75 is missed with probability (1 - 0.75**4)**40 < 1e-6.
+   This holds for large sets; on small ones a permutation's minimum and
+   maximum depend on each other: sets of 3 and 4 shingles at 0.75 agree in
+   both with 0.5, in a band with 0.25, and are missed with 0.75**40 = 1e-5.
 3. Stars.  In every band bucket the representatives are held against one
    hub of the bucket.  Pairs that look alike at all join into clusters;
    each member's nearest hubs are confirmed and join it into components.
