@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert sorted(QUERIES, key=lambda k: int(k[2:].split("_")[0])) and {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert sorted(QUERIES, key=lambda k: int(k[2:].split("_")[0])) and {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
     assert ORACLE_SQL.keys() <= QUERIES.keys()
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import license_scan, url_filter
+from tillscope.llm import license_scan, url_filter, warc
 from tillscope.llm.common import table
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
@@ -17,6 +17,8 @@ from tillscope.llm.packing import pack
 from tillscope.llm.quality_fm import score_documents, train
 from tillscope.llm.spotsigs import edited_fingerprints
 from tillscope.llm.token_count import token_counts
+from tillscope.llm.vector_codes import vector_codes
+from tillscope.llm.whitening import whiten
 from tillscope.llm.word_bpe import encode_decode
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +74,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
 QUERIES: dict[str, Query] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_line_dedup": op2_line_dedup,
@@ -83,9 +97,13 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_word_bpe": op9_word_bpe,
     "op10_minhash": op10_minhash,
+    "op11_whitening": op11_whitening,
+    "op12_warc": op12_warc,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: DuckDB SQL where it can express a query
 ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": license_scan.oracle_sql(),
+    "op12_warc": warc.oracle_sql(),
 }
