@@ -211,11 +211,6 @@ def squared_singular_values(diagonal: np.ndarray, above: np.ndarray) -> np.ndarr
 
 
 # ------------------------------------------------------------------ vectors
-def _floored(x: np.ndarray) -> np.ndarray:
-    """No pivot is zero."""
-    return np.where(np.abs(x) < TINY, TINY, x)
-
-
 def _top_down(pivots: np.ndarray, lower: np.ndarray, value: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(s, d, l): stationary qd transform of LDL' - value."""
     n = len(pivots)
@@ -231,24 +226,25 @@ def _top_down(pivots: np.ndarray, lower: np.ndarray, value: float) -> tuple[np.n
     return s, d, low
 
 
-def _bottom_up(pivots: np.ndarray, lower: np.ndarray, value: float) -> tuple[np.ndarray, np.ndarray]:
-    """(p, u): progressive qd transform of LDL' - value."""
+def _bottom_up(pivots: np.ndarray, lower: np.ndarray, value: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(p, d, u): progressive qd transform of LDL' - value; d[k + 1] stands below row k."""
     n = len(pivots)
-    p, up = np.zeros(n), np.zeros(n - 1)
+    p, below, up = np.zeros(n), np.zeros(n), np.zeros(n - 1)
     p[-1] = pivots[-1] - value
     for k in range(n - 2, -1, -1):
         d = pivots[k] * lower[k] ** 2 + p[k + 1]
         if abs(d) < TINY:
             d = -TINY
+        below[k + 1] = d
         up[k] = pivots[k] * lower[k] / d
         p[k] = p[k + 1] * pivots[k] / d - value
-    return p, up
+    return p, below, up
 
 
 def _twisted(pivots: np.ndarray, lower: np.ndarray, value: float) -> tuple[np.ndarray, float]:
     """(z, correction): the vector where the factorisations meet at the smallest pivot, and its Rayleigh correction of the value."""
     s, _, low = _top_down(pivots, lower, value)
-    p, up = _bottom_up(pivots, lower, value)
+    p, _, up = _bottom_up(pivots, lower, value)
     gamma = s + p + value
     r = int(np.argmin(np.abs(gamma)))
     z = np.zeros(len(pivots))
@@ -262,26 +258,35 @@ def _twisted(pivots: np.ndarray, lower: np.ndarray, value: float) -> tuple[np.nd
 
 
 def _inverse_iteration(pivots: np.ndarray, lower: np.ndarray, value: float, before: list[np.ndarray], seed: int) -> np.ndarray:
-    """A vector of ``value`` orthogonal to ``before``, from a fixed pseudo-random start."""
+    """A vector of ``value`` orthogonal to ``before``, from a fixed pseudo-random start, by solving with the twisted factorisation."""
+    value *= 1 + 64 * EPS  # beside the cluster: no single direction of it may drown the others
+    s, above, low = _top_down(pivots, lower, value)
+    p, below, up = _bottom_up(pivots, lower, value)
+    gamma = s + p + value
+    r = int(np.argmin(np.abs(gamma)))
+    middle = np.concatenate([above[:r], [np.copysign(max(abs(gamma[r]), EPS * EPS * value), gamma[r])], below[r + 1:]])
     z = np.random.default_rng(seed).normal(size=len(pivots))
-    _, d, low = _top_down(pivots, lower, value * (1 - 4 * EPS))
-    d = _floored(d)
-    for _ in range(4):
+
+    def apart(z: np.ndarray) -> np.ndarray:
         for _ in range(2):
             for other in before:
                 z = z - other * (other @ z)
-        z = z / np.linalg.norm(z)
-        for k in range(len(low)):
+            z = z / np.linalg.norm(z)
+        return z
+
+    for _ in range(4):
+        z = apart(z)
+        for k in range(r):
             z[k + 1] -= low[k] * z[k]
-        z = z / d
-        for k in range(len(low) - 1, -1, -1):
+        for k in range(len(up) - 1, r - 1, -1):
+            z[k] -= up[k] * z[k + 1]
+        z = z / middle
+        for k in range(r - 1, -1, -1):
             z[k] -= low[k] * z[k + 1]
+        for k in range(r, len(up)):
+            z[k + 1] -= up[k] * z[k]
         z = z / np.abs(z).max()
-    for _ in range(2):
-        for other in before:
-            z = z - other * (other @ z)
-        z = z / np.linalg.norm(z)
-    return z
+    return apart(z)
 
 
 def _block_vectors(diagonal: np.ndarray, above: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
