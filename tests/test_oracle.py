@@ -10,7 +10,7 @@ from tillscope.plans.oracle import oracle_sql as core_sql
 SF = os.environ.get("TILLSCOPE_ORACLE_SF", "/root/testdata/sf0.01")
 SMALL = "/root/testdata/sf0.001"
 # keys that write a folder for each of ~2,400 days read the smallest tables here; the driver's gate reads sf0.01
-WRITING = {"bronze_stream_roundtrip", "bronze_partition_scan", "bronze_pruned_scan", "audit_chain_summary"}
+WRITING = {"bronze_stream_roundtrip", "bronze_partition_scan", "bronze_pruned_scan", "audit_chain_summary", "silver_as_of", "silver_history", "gold_by_name"}
 KEYS = sorted(core_sql())
 
 

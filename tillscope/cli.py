@@ -3,7 +3,7 @@
     python -m tillscope.cli <command> [options]
     spark-submit tillscope/cli.py <command> [options]
 
-Commands: ingest, silver, validate, gold, pipeline, profile, export-csv.
+Commands: ingest, silver, validate, gold, pipeline, profile, history, export-csv.
 Settings that the audited scripts read from the environment are options
 here.  The session comes from the launcher (master, resources, checkpoint
 folder); nothing is hard-wired.
@@ -67,6 +67,9 @@ def main(argv: list[str] | None = None) -> int:
     pip.add_argument("--out", required=True)
     pip.add_argument("--strict", action="store_true")
 
+    his = sub.add_parser("history", help="published versions of Silver")
+    his.add_argument("--silver", required=True)
+
     exp = sub.add_parser("export-csv", help="Silver as CSV (distributed write)")
     exp.add_argument("--silver", required=True)
     exp.add_argument("--out", required=True)
@@ -99,7 +102,7 @@ def main(argv: list[str] | None = None) -> int:
         from tillscope.sources.bronze import read_bronze
 
         tiebreak = [c for c in a.tiebreak.split(",") if c]
-        print(json.dumps(run_silver(spark, read_bronze(spark, a.bronze), a.silver, a.rejects, tiebreak=tiebreak)))
+        print(json.dumps(run_silver(spark, read_bronze(spark, a.bronze, with_position=True), a.silver, a.rejects, tiebreak=tiebreak)))
         return 0
     if a.cmd == "validate":
         from tillscope.plans.pipeline import validate_silver
@@ -123,11 +126,16 @@ def main(argv: list[str] | None = None) -> int:
         from tillscope.sources.bronze import read_bronze
 
         try:
-            _print_df(run_pipeline(spark, read_bronze(spark, a.bronze), a.out, strict=a.strict))
+            _print_df(run_pipeline(spark, read_bronze(spark, a.bronze, with_position=True), a.out, strict=a.strict))
         except PipelineCheckFailed as exc:
             print(str(exc), file=sys.stderr)
             return 1
         return 0
+    if a.cmd == "history":
+        from tillscope.operators.silver import silver_history
+
+        _print_df(silver_history(spark, a.silver))
+        return 0
     if a.cmd == "export-csv":
         from tillscope.operators.silver import read_silver
         from tillscope.sources.csv_export import export_csv
@@ -135,14 +143,13 @@ def main(argv: list[str] | None = None) -> int:
         export_csv(read_silver(spark, a.silver), a.out)
         return 0
     if a.cmd == "profile":
-        from tillscope.operators.profile import bronze_profile_report, silver_check_report
+        from tillscope.operators import profile
         from tillscope.operators.silver import read_silver
         from tillscope.sources.bronze import read_bronze
 
-        report = bronze_profile_report(read_bronze(spark, a.bronze)) if a.bronze else silver_check_report(read_silver(spark, a.silver))
-        for name, rows in report.items():
-            print(f"# {name}")
-            _print_df(rows)
+        rows = read_bronze(spark, a.bronze) if a.bronze else read_silver(spark, a.silver)
+        _print_df(profile.bronze_report(rows) if a.bronze else profile.silver_report(rows))
+        _print_df(profile.sample(rows, profile.BRONZE_SAMPLE_COLUMNS if a.bronze else profile.SILVER_SAMPLE_COLUMNS))
         return 0
     return 2
 

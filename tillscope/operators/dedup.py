@@ -37,3 +37,36 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str],
     order += [_orderable(df, c).asc_nulls_last() for c in rest]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+
+
+COPIES = "copies"
+_ASCENDING = ("timestamp", "timestamp_ntz", "date", "tinyint", "smallint", "int", "bigint")
+
+
+def _falling(df: DataFrame, column: str) -> Column:
+    """A BIGINT that falls as an instant, date or whole number rises; NULL comes last."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind not in _ASCENDING:
+        raise TypeError(f"{column}: {kind} has no inverse order; use dedup_latest")
+    if kind.startswith("timestamp"):
+        value = F.unix_micros(F.col(column).cast("timestamp"))
+    else:
+        value = F.unix_date(column) if kind == "date" else F.col(column).cast("bigint")
+    return F.coalesce(F.bitwise_not(value), F.lit(2**63 - 1))
+
+
+def dedup_latest_counted(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``dedup_latest`` with ``copies``, how many rows their key had: one aggregate, one shuffle.
+
+    The copies are counted in the data, so a map task that runs again after
+    a lost executor is not counted twice, as it would be by a metric below
+    the shuffle.  The partial aggregate keeps one row and one count per key
+    and task, so a hot key (NULL ids) crosses the shuffle as one row a task.
+    ``latest_by`` holds instants, dates or whole numbers.
+    """
+    others = [c for c in df.columns if c not in keys]
+    rest = list(tiebreak) or [c for c in others if c not in latest_by]
+    order = F.struct(*[_falling(df, c).alias(f"l{i}") for i, c in enumerate(latest_by)],
+                     *[x for i, c in enumerate(rest) for x in (F.col(c).isNull().alias(f"n{i}"), _orderable(df, c).alias(f"t{i}"))])
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("_best"), F.count(F.lit(1)).alias(COPIES))
+    return best.select(*[c if c in keys else F.col(f"_best.`{c}`").alias(c) for c in df.columns], COPIES)

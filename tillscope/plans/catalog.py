@@ -9,6 +9,7 @@ outputs because they differ per run; money leaves as DOUBLE.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +20,15 @@ from tillscope import schema as S
 from tillscope.functions.contract import contract_defaults, contract_violations
 from tillscope.operators import gold, model_tests, profile, quality
 from tillscope.operators.dedup import dedup_latest
-from tillscope.operators.silver import silver_flagged, silver_rejects, silver_run_summary, silver_valid
-from tillscope.plans.pipeline import run_pipeline
+from tillscope.operators.silver import read_silver, run_silver, silver_flagged, silver_history, silver_rejects, silver_run_summary, silver_valid
+from tillscope.plans.pipeline import declared_source, publish_views, run_pipeline
 from tillscope.session import scratch_path
 from tillscope.sources.bronze import read_bronze, write_bronze_batch
 from tillscope.sources.csv_export import export_csv, read_csv_export
 from tillscope.sources.messages import decode_messages, encode_messages
 from tillscope.sources.posview import POS_TIEBREAK, pos_view, read_table
-from tillscope.sources.versions import read_version, version_history, write_version
-from tillscope.streaming.ingest import enrich, file_message_source, ingest, start_ingest
+from tillscope.sources.versions import read_version, version_counts, version_history, write_version
+from tillscope.streaming.ingest import admission_counts, enrich, file_message_source, ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +154,17 @@ def q_bronze_stream_roundtrip(spark, d):
     return read_bronze(spark, f"{root}/bronze").drop("ingested_at")
 
 
+def q_bronze_admission_counts(spark, d):
+    """Messages read, admitted and dropped, as observed in the micro-batches of a stream."""
+    root = scratch_path(spark, "stream-counts")
+    _messages(spark, d).write.parquet(f"{root}/topic")
+    q = start_ingest(file_message_source(spark, f"{root}/topic"), f"{root}/bronze", f"{root}/_checkpoint", trigger={"availableNow": True},
+                     partition_by=["year"], cluster_by_partition=2)
+    q.awaitTermination()
+    rows = [(c["n_read"], c["n_admitted"], c["n_dropped"]) for c in admission_counts(q)]
+    return spark.createDataFrame(rows, "n_read bigint, n_admitted bigint, n_dropped bigint").groupBy().sum().toDF("n_read", "n_admitted", "n_dropped")
+
+
 def q_bronze_partition_scan(spark, d):
     root = scratch_path(spark, "bronze-scan")
     write_bronze_batch(_bronze(spark, d).select(*S.BRONZE_COLUMNS), f"{root}/bronze",
@@ -241,6 +253,14 @@ def q_row_count_silver(spark, d):
     return profile.row_count(_silver(spark, d))
 
 
+def q_bronze_report(spark, d):
+    return profile.bronze_report(_bronze(spark, d))
+
+
+def q_silver_report(spark, d):
+    return profile.silver_report(_silver(spark, d))
+
+
 def q_sample_bronze(spark, d):
     return profile.sample(_bronze(spark, d), profile.BRONZE_SAMPLE_COLUMNS)
 
@@ -333,10 +353,34 @@ def q_snapshot_history(spark, d):
 
 
 def q_snapshot_version_counts(spark, d):
-    path, silver = _versions(spark, d, 2)
-    parts = [read_version(spark, path, silver.schema, v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows_as_of"))
-             for v in range(3)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return version_counts(spark, _versions(spark, d, 2)[0])
+
+
+def _silver_runs(spark, d) -> str:
+    """Two published runs of the Silver job: Bronze up to the split year, then all of it."""
+    root = scratch_path(spark, "silver-runs")
+    bronze = _bronze(spark, d)
+    for rows in (bronze.filter(F.coalesce(F.col("year") <= SNAPSHOT_SPLIT_YEAR, F.lit(True))), bronze):
+        run_silver(spark, rows, f"{root}/silver", f"{root}/rejects", clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK)
+    return f"{root}/silver"
+
+
+def q_silver_as_of(spark, d):
+    """Silver as of its first run, read after the second."""
+    return _doubles(_no_clock(read_silver(spark, _silver_runs(spark, d), version=0)))
+
+
+def q_silver_history(spark, d):
+    return silver_history(spark, _silver_runs(spark, d)).drop("run", "written_at")
+
+
+def q_gold_by_name(spark, d):
+    """The daily fact by its catalog name, of the newest published run of the chain; its stores checked against the Silver view's."""
+    root, prefix = scratch_path(spark, "named"), f"t{uuid.uuid4().hex[:8]}_"
+    run_pipeline(spark, _bronze(spark, d), root, clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK)
+    publish_views(spark, root, prefix)
+    stores = declared_source(spark, f"{prefix}silver").select("store_id").distinct()
+    return spark.table(f"{prefix}fct_daily_sales").join(stores, "store_id", "left_semi")
 
 
 def q_csv_export_roundtrip(spark, d):
@@ -358,6 +402,7 @@ _QUERIES: dict[str, Query] = {
     "bronze_enrich": q_bronze_enrich,
     "bronze_admit": q_bronze_admit,
     "bronze_stream_roundtrip": q_bronze_stream_roundtrip,
+    "bronze_admission_counts": q_bronze_admission_counts,
     "bronze_partition_scan": q_bronze_partition_scan,
     "bronze_pruned_scan": q_bronze_pruned_scan,
     # silver
@@ -379,6 +424,8 @@ _QUERIES: dict[str, Query] = {
     "check_negative": q_check_negative,
     "sample_bronze": q_sample_bronze,
     "sample_silver": q_sample_silver,
+    "bronze_report": q_bronze_report,
+    "silver_report": q_silver_report,
     "row_count_bronze": q_row_count_bronze,
     "row_count_silver": q_row_count_silver,
     # contract
@@ -407,6 +454,9 @@ _QUERIES: dict[str, Query] = {
     "snapshot_read_version": q_snapshot_read_version,
     "snapshot_history": q_snapshot_history,
     "snapshot_version_counts": q_snapshot_version_counts,
+    "silver_as_of": q_silver_as_of,
+    "silver_history": q_silver_history,
+    "gold_by_name": q_gold_by_name,
     "csv_export_roundtrip": q_csv_export_roundtrip,
     # whole chain
     "audit_chain_summary": q_audit_chain_summary,

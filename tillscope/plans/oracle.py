@@ -427,6 +427,22 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT 0 AS version, (SELECT count(*) FROM silver WHERE {_SNAP_EARLY}) AS n_rows_as_of "
         f"UNION ALL SELECT 1, (SELECT count(*) FROM silver) "
         f"UNION ALL SELECT 2, (SELECT count(*) FROM silver)")
+    early = _with(_POS.replace("pos AS (", "pos_all AS (", 1), f"pos AS (SELECT * FROM pos_all WHERE {_SNAP_EARLY})", _SILVER)
+    q["silver_as_of"] = early + f"SELECT {silver_cols} FROM silver"
+    q["silver_history"] = (
+        f"SELECT 0 AS version, 'WRITE' AS operation, 'Overwrite' AS mode, (SELECT count(*) FROM ({early} SELECT 1 FROM silver) e) AS n_rows "
+        f"UNION ALL SELECT 1, 'WRITE', 'Overwrite', (SELECT count(*) FROM ({SILVER} SELECT 1 FROM silver) w)")
+    q["gold_by_name"] = GOLD + "SELECT * FROM fct_daily_sales"
+    q["bronze_admission_counts"] = MSG + (
+        f"SELECT (SELECT count(*) FROM msgs) AS n_read, (SELECT count(*) FROM ({_ADMITTED}) a) AS n_admitted, "
+        f"(SELECT count(*) FROM msgs) - (SELECT count(*) FROM ({_ADMITTED}) b) AS n_dropped")
+    q["bronze_report"] = _bronze_report_sql(q["top_stores_revenue"])
+    q["silver_report"] = SILVER + " UNION ALL ".join([
+        _report_row("row_count", "total_rows", "count(*)", "silver"),
+        _report_row("duplicates", "duplicates", "count(*) - count(DISTINCT transaction_id) - coalesce(max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END), 0)", "silver"),
+        _report_row("total_mismatches", "total_mismatches", "count_if(abs(total_amount - round(quantity * unit_price, 2)) > 0.01)", "silver"),
+        _report_row("negative_amounts", "negative_amounts", "count_if(total_amount < 0)", "silver"),
+        _report_shares("audit_flag", "silver")])
     q["csv_export_roundtrip"] = SILVER + f"SELECT {silver_cols} FROM silver"
     q["audit_chain_summary"] = GOLD + (
         "SELECT (SELECT count(*) FROM pos) AS bronze_read, "
@@ -447,3 +463,22 @@ def _suite_body() -> str:
 
 def _tests_body() -> str:
     return _tests_sql(None)[len(GOLD):]
+
+
+def _report_row(section: str, item: str, n: str, source: str) -> str:
+    return (f"SELECT '{section}' AS section, '{item}' AS item, CAST({n} AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS percentage, "
+            f"CAST(NULL AS DOUBLE) AS revenue_eur, CAST(NULL AS DOUBLE) AS avg_basket_eur FROM {source}")
+
+
+def _report_shares(column: str, source: str) -> str:
+    return (f"SELECT '{column}' AS section, item, n, {_pct('n', 'total')} AS percentage, CAST(NULL AS DOUBLE) AS revenue_eur, "
+            f"CAST(NULL AS DOUBLE) AS avg_basket_eur FROM (SELECT {column} AS item, count(*) AS n, sum(count(*)) OVER () AS total FROM {source} GROUP BY {column}) d")
+
+
+def _bronze_report_sql(top_stores: str) -> str:
+    return BASE + " UNION ALL ".join([
+        _report_row("row_count", "total_rows", "count(*)", "pos"),
+        *[_report_row("null_check", c, f"count_if({c} IS NULL)", "pos") for c in ("transaction_id", "store_id", "total_amount")],
+        _report_shares("audit_flag", "pos"), _report_shares("payment_method", "pos"),
+        "SELECT 'top_stores' AS section, store_id AS item, transactions AS n, CAST(NULL AS DOUBLE) AS percentage, revenue_eur, avg_basket_eur "
+        f"FROM ({top_stores}) t"])

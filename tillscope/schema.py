@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -104,6 +105,9 @@ BRONZE_SCHEMA = StructType(
     ]
 )
 BRONZE_COLUMNS = [f.name for f in BRONZE_SCHEMA.fields]
+# where a message stood in its topic, kept in Bronze if the source tells it: the later offset is the later arrival
+POSITION_SCHEMA = StructType([StructField("kafka_offset", LongType()), StructField("kafka_partition", IntegerType())])
+POSITION_COLUMNS = [f.name for f in POSITION_SCHEMA.fields]
 # the audited stream sink's layout: event date, then store
 BRONZE_PARTITION_COLUMNS = ["year", "month", "day", "store_id"]
 # date-only layout (stores clustered inside files): far fewer folders when
@@ -133,21 +137,3 @@ REJECTS_SCHEMA = StructType(
     [StructField(c, MONEY if c == "expected_total" else StringType() if c == "rejection_reason" else SILVER_SCHEMA[c].dataType)
      for c in REJECT_COLUMNS]
 )
-
-STAGING_COLUMNS = [
-    "transaction_id",
-    "store_id",
-    "terminal_id",
-    "cashier_id",
-    "product_id",
-    "quantity",
-    "unit_price",
-    "total_amount",
-    "payment_method",
-    "transaction_ts",
-    "is_voided",
-    "audit_flag",
-    "year",
-    "month",
-    "day",
-]

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillscope import schema as S
 
@@ -24,8 +25,10 @@ def _day_key(d: _dt.date) -> int:
 
 
 def read_bronze(spark: SparkSession, path: str, date_from: _dt.date | None = None,
-                date_to: _dt.date | None = None, stores: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.schema(S.BRONZE_SCHEMA).parquet(path)
+                date_to: _dt.date | None = None, stores: Sequence[str] | None = None, with_position: bool = False) -> DataFrame:
+    """Bronze of a range of dates and stores; ``with_position`` adds where its messages stood in their topic (NULL where that was not kept)."""
+    extra = S.POSITION_COLUMNS if with_position else []
+    df = spark.read.schema(StructType([*S.BRONZE_SCHEMA.fields, *(S.POSITION_SCHEMA.fields if with_position else [])])).parquet(path)
     day_key = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
     if date_from is not None:
         df = df.filter(day_key >= _day_key(date_from))
@@ -33,7 +36,7 @@ def read_bronze(spark: SparkSession, path: str, date_from: _dt.date | None = Non
         df = df.filter(day_key <= _day_key(date_to))
     if stores is not None:
         df = df.filter(F.col("store_id").isin(*stores))
-    return df.select(*S.BRONZE_COLUMNS)
+    return df.select(*S.BRONZE_COLUMNS, *extra)
 
 
 def write_bronze_batch(bronze: DataFrame, path: str, partition_by: Sequence[str] | None = None,

@@ -36,8 +36,13 @@ def encode_messages(df: DataFrame, received_at: str | None = "kafka_received_at"
     )
 
 
+def has_position(raw: DataFrame) -> bool:
+    """Whether the source tells where a message stood in its topic (columns ``partition`` and ``offset``)."""
+    return {"partition", "offset"} <= set(raw.columns)
+
+
 def decode_messages(raw: DataFrame, with_key: bool = False) -> DataFrame:
-    """(key, value, timestamp) → the 12 message fields + kafka_received_at.
+    """(key, value, timestamp) → the 12 message fields + kafka_received_at (+ the topic position, if the source tells it).
 
     The value is parsed once.  The parsed struct is expanded through a
     generator (``inline`` of a one-element array) rather than a projection:
@@ -48,8 +53,9 @@ def decode_messages(raw: DataFrame, with_key: bool = False) -> DataFrame:
     """
     data = F.from_json(F.col("value").cast("string"), S.MESSAGE_SCHEMA)
     key = [F.col("key").cast("string").alias("message_key")] if with_key else []
-    expanded = raw.select(*key, F.col("timestamp").alias("kafka_received_at"), F.inline(F.array(data)))
-    return expanded.select(*(["message_key"] if with_key else []), *S.MESSAGE_FIELDS, "kafka_received_at")
+    position = [F.col("offset").cast("bigint").alias("kafka_offset"), F.col("partition").cast("int").alias("kafka_partition")] if has_position(raw) else []
+    expanded = raw.select(*key, *position, F.col("timestamp").alias("kafka_received_at"), F.inline(F.array(data)))
+    return expanded.select(*(["message_key"] if with_key else []), *S.MESSAGE_FIELDS, "kafka_received_at", *(S.POSITION_COLUMNS if position else []))
 
 
 def publish_messages(df: DataFrame, fmt: str = "kafka", topic: str | None = None,

@@ -12,6 +12,13 @@ wins on restart); lost data fails the query unless it is to be tolerated,
 and a trigger takes all there is unless a limit is given.
 ``file_message_source`` reads a directory of message files with the same
 ``key, value, timestamp`` columns.
+
+A broker also tells partition and offset of each message.  Bronze keeps
+them (``POSITION_COLUMNS``, behind the audited columns), and keep-latest
+uses them for messages of one ingest time.
+
+How many messages a micro-batch read, admitted and dropped is observed
+while it runs; ``admission_counts`` reads it from the query's progress.
 """
 
 from __future__ import annotations
@@ -23,10 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillscope import schema as S
-from tillscope.sources.messages import decode_messages
+from tillscope.sources.messages import decode_messages, has_position
 
 CLUSTER_BUCKETS = 8
 TRIGGER_INTERVAL = "30 seconds"
+ADMISSION = "admission"  # name of the observed metrics
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
@@ -76,15 +84,38 @@ def enrich(decoded: DataFrame, clock: _dt.datetime | Column | None = None) -> Da
     )
 
 
+def is_admitted() -> Column:
+    return F.col("transaction_id").isNotNull() & F.col("store_id").isNotNull() & F.col("total_amount").isNotNull()
+
+
 def admit(df: DataFrame) -> DataFrame:
     """Bronze admission: id, store and total all present (malformed messages drop here)."""
-    return df.filter(F.col("transaction_id").isNotNull() & F.col("store_id").isNotNull()
-                     & F.col("total_amount").isNotNull())
+    return df.filter(is_admitted())
+
 
+def ingest(raw: DataFrame, clock: _dt.datetime | Column | None = None, observed: str | None = None) -> DataFrame:
+    """Raw messages → admitted Bronze rows in ``BRONZE_COLUMNS`` order (batch or stream), then the topic position if there is one.
 
-def ingest(raw: DataFrame, clock: _dt.datetime | Column | None = None) -> DataFrame:
-    """Raw messages → admitted Bronze rows in ``BRONZE_COLUMNS`` order (batch or stream)."""
-    return admit(enrich(decode_messages(raw), clock)).select(*S.BRONZE_COLUMNS)
+    With ``observed``, messages read and admitted are observed under that name.
+    """
+    rows = enrich(decode_messages(raw), clock)
+    if observed:
+        rows = rows.observe(observed, F.count(F.lit(1)).alias("n_read"), F.count_if(is_admitted()).alias("n_admitted"))
+    return admit(rows).select(*S.BRONZE_COLUMNS, *(S.POSITION_COLUMNS if has_position(raw) else []))
+
+
+def admission_counts(query: StreamingQuery) -> list[dict[str, int]]:
+    """batch, n_read, n_admitted, n_dropped of the query's recent micro-batches that read something (Spark keeps the last 100).
+
+    A task that runs again after a lost executor may be counted again; the
+    admitted rows themselves are in Bronze once.
+    """
+    out = []
+    for progress in query.recentProgress:
+        seen = (progress.observedMetrics or {}).get(ADMISSION)
+        if seen is not None and seen["n_read"]:
+            out.append({"batch": progress.batchId, "n_read": seen["n_read"], "n_admitted": seen["n_admitted"], "n_dropped": seen["n_read"] - seen["n_admitted"]})
+    return out
 
 
 def start_ingest(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str,
@@ -105,7 +136,7 @@ def start_ingest(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str,
     tasks should write; 0 writes from every task into every folder it meets.
     """
     partition_by = partition_by or S.BRONZE_PARTITION_COLUMNS
-    bronze = ingest(raw_stream)
+    bronze = ingest(raw_stream, observed=ADMISSION)
     if cluster_by_partition:
         salt = F.pmod(F.xxhash64("transaction_id", "kafka_received_at"), F.lit(int(cluster_by_partition)))
         bronze = bronze.repartition(*[F.col(c) for c in partition_by], salt)
