@@ -46,11 +46,12 @@ from tillscope.llm import pretokens as P
 from tillscope.llm.common import map_arrow, map_texts, saved, steps
 
 SHARDS = 64  # a length's pieces are counted in so many parts
+LONG_TEXT = 1_000_000  # characters; a longer text is tokenized in parts, which bounds the lists of ids
 RUN = np.dtype([("key", "<i8"), ("sequence", "<i8"), ("offset", "<i4")])
 
 
 class ByteIds:
-    """Token ids of whole texts as little-endian bytes; each distinct piece of text is tokenized once per worker."""
+    """Token ids of whole texts as little-endian bytes."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -58,11 +59,12 @@ class ByteIds:
         of_char = {c: b for b, c in P.byte_alphabet().items()}
         self.path = path
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special = P.special_pattern(self.specials)
-        # ranks of a byte-level BPE are its ids where those follow the merges
+        # ranks of a byte-level BPE are its ids where those follow the merges; else the library does all
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        made = [spec["model"]["vocab"][a + b] for a, b in pairs]
+        self.ranked = all(x < y for x, y in zip(made, made[1:]))
         ranks = {bytes(of_char[c] for c in s): i for s, i in spec["model"]["vocab"].items()}
         self.fast = tiktoken.Encoding("pieces", pat_str=P.BYTE_PATTERN.pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
 
     @functools.cached_property
     def library(self) -> tokenizers.Tokenizer:
@@ -70,20 +72,24 @@ class ByteIds:
         return tokenizers.Tokenizer.from_file(self.path)
 
     def ids(self, text: str) -> bytes:
-        if self.special is not None and self.special.search(text):
+        if not self.ranked or any(s in text for s in self.specials):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        head, *rest = P.space_pieces(text)
-        found = list(map(self.known.get, rest))
-        if None in found:
-            if len(self.known) > P.MAX_PIECES:
-                self.known = {}
-            for i, piece in enumerate(rest):
-                if found[i] is None:
-                    found[i] = self.known.get(piece) or self.known.setdefault(piece, self._of(" " + piece))
-        return self._of(head) + b"".join(found)
-
-    def _of(self, piece: str) -> bytes:
-        return np.array(self.fast.encode_ordinary(piece), "<u4").tobytes()
+        return b"".join([np.array(self.fast.encode_ordinary(part), "<u4").tobytes() for part in _parts(text)])
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A long text in parts that are tokenized independently: each later part starts with a space that starts a pre-token."""
+    if len(text) <= LONG_TEXT:
+        yield text
+        return
+    held, size = [], 0
+    for i, piece in enumerate(P.space_pieces(text)):
+        held.append(piece if i == 0 else " " + piece)
+        size += len(piece)
+        if size >= LONG_TEXT:
+            yield "".join(held)
+            held, size = [], 0
+    yield "".join(held)
 
 
 @functools.lru_cache(maxsize=2)

@@ -20,7 +20,9 @@ BYTE_PATTERN = regex.compile(
 WORD_PATTERN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WS}\p{{L}}\p{{N}}]+")
 WORD_BREAK = regex.compile(rf"[{_WS}]+")
 
-_IRREGULAR = re.compile(r"^ |\s | (?:\s|$)")
+#: a space beside other white space (plain searches for these few pairs are much cheaper than one pattern)
+_BESIDE = [pair for c in map(chr, range(0x3001)) if c.isspace() for pair in ((c + " ", " " + c) if c != " " else ("  ",))]
+_ASCII_BESIDE = [pair for pair in _BESIDE if pair.isascii()]
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 #: a worker forgets its pieces beyond this many (a bound on memory, never on results)
@@ -29,7 +31,8 @@ MAX_PIECES = 150_000
 
 def space_pieces(text: str) -> list[str]:
     """Pieces of a text; all but the first stand after one space."""
-    if _IRREGULAR.search(text):
+    beside = _ASCII_BESIDE if text.isascii() else _BESIDE
+    if text[:1] == " " or text[-1:] == " " or any(pair in text for pair in beside):
         return _LONE_SPACE.split(text)
     return text.split(" ")
 

@@ -29,6 +29,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -42,6 +43,7 @@ from tillscope.llm.common import map_texts, steps
 
 FINAL = 256  # a word's last byte b is the symbol chr(FINAL + b)
 NEVER = 1 << 30
+MAX_PIECES = 400_000  # and its pieces and words beyond this many
 MAX_PAIRS = 500_000  # a worker forgets its pair table beyond this many
 
 
@@ -102,7 +104,8 @@ class WordBpe:
         for s, i in by_text.items():
             self.shorter[i] = next((by_text[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in by_text), -1)
         self.compatible.clear()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids of pieces between white space
+        self.words: dict[str, bytes] = {}  # and of the words that they hold
 
     def edge(self, token: int, right: bool) -> list[tuple[int, int, int]]:
         """(part, rank that forms it, rank that absorbs it) along a token's right or left edge."""
@@ -160,6 +163,11 @@ class WordBpe:
                 token = self.shorter[token]
         return out
 
+    def word_ids(self, word: str) -> bytes:
+        found = self.encode_word(word)
+        ids = self.words[word] = struct.pack(f"<{len(found)}i", *found)
+        return ids
+
     def encode(self, text: str) -> np.ndarray:
         out = []
         for part, special in P.around_specials(text, self.special):
@@ -170,13 +178,13 @@ class WordBpe:
             if None in ids:
                 for p in pieces:
                     if p not in self.known:
-                        self.known[p] = np.array([i for w in P.WORD_PATTERN.findall(p) for i in self.encode_word(w)], "<i4").tobytes()
+                        self.known[p] = b"".join([self.words.get(w) or self.word_ids(w) for w in P.WORD_PATTERN.findall(p)])
                 ids = list(map(get, pieces))
             out += ids
             if special is not None:
                 out.append(np.array([self.specials[special]], "<i4").tobytes())
-        if len(self.known) > P.MAX_PIECES:
-            self.known = {}
+        if len(self.known) > MAX_PIECES:
+            self.known, self.words = {}, {}
         return np.frombuffer(b"".join(out), "<i4")
 
     def decode(self, ids: np.ndarray) -> bytes:
