@@ -11,7 +11,8 @@ from itertools import combinations
 import pytest
 
 from tests.llm import cases
-from tillscope.llm import license_scan, minhash
+from tillscope.llm import license_scan, line_dedup, minhash
+from tillscope.llm.common import saved
 from tillscope.llm.components import components
 from tillscope.llm.line_dedup import dedup_lines
 from tillscope.llm.minhash import near_duplicates
@@ -171,6 +172,40 @@ def test_line_dedup_bound_grows_with_length(spark):
     assert far > 10
 
 
+def test_rows_that_repeat_an_id_with_other_text_keep_their_own_lines(spark):
+    rows = [(1, "alpha line one"), (2, "alpha line one\nunique bee"), (2, "unique cat\nalpha line one"), (2, "unique cat\nalpha line one"), (3, "unique bee")]
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(cases.table(spark, rows)).collect())
+    assert got == [(1, "alpha line one", 0), (2, "unique bee", 1), (2, "unique cat", 1), (2, "unique cat", 1), (3, "", 1)]
+
+
+def test_near_lines_make_no_pairs(spark, monkeypatch):
+    """A family of near lines: the rows of every written step grow with the lines, not with their pairs."""
+    base, rows = cases.prose(4, 20).split(), {}
+    for n in (30, 120):
+        lines = [" ".join(base[:k % 20] + [f"w{k}"] + base[k % 20 + 1:]) for k in range(n)]
+        written = []
+
+        def counted(df, name):
+            out = saved(df, name)
+            written.append(out.count())
+            return out
+
+        monkeypatch.setattr(line_dedup, "saved", counted)
+        kept = dedup_lines(cases.table(spark, list(enumerate(lines))), **LINE_BOUND).where("text != ''").collect()
+        assert [r.doc_id for r in kept] == [0]
+        rows[n] = max(written)
+    assert rows[120] <= 6 * rows[30]
+
+
+def test_blocks_find_every_witness(spark, monkeypatch):
+    """Lines that are near an earlier line of a key, but not the key's earliest one."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 3)
+    base = cases.prose(8, 10).split()
+    chain = [" ".join([f"x{j}" if j < k else w for j, w in enumerate(base)]) for k in range(8)]  # each differs from the one before by one word
+    rows = [(i, t) for i, t in enumerate(chain)] + [(100 + i, t + " tail") for i, t in enumerate(chain)]
+    check_lines(spark, rows)
+
+
 def test_licenses_against_duckdb(spark, tmp_path):
     import duckdb
     rows = cases.distinct_ids() + [(100 + k, cases.prose(k, 30) + "\n" + t.replace("free", "FREE!") + " " + cases.prose(k, 30))

@@ -1,4 +1,4 @@
-"""Line dedup by shared segments, in DataFrame operations only.
+"""Line dedup by deletion variants, in DataFrame operations only.
 
 Lines are compared trimmed and in lower case.  A line goes if an earlier
 line (smaller document id, then line number) equals it, or, from
@@ -9,22 +9,31 @@ shorter line, ``max_edits`` at most.  Blank lines always stay.
 1. Equal lines meet by a 128-bit hash; the earliest position is a partial
    aggregate, so a line that a third of all documents share crosses the
    shuffle as one row per task.
-2. Segments.  k edits leave one of k + 1 disjoint segments of the shorter
-   line whole, with no more edits before it than segments before it, and
-   no more behind it than segments behind it.  So a line emits its own
-   segments and, for each length a shorter partner may have, the few runs
-   of words that can be one of the partner's segments.  This drops no pair.
-3. Only keys that are a segment of one line and a run of another go on,
-   and only their lines are read again.
-4. The candidate pairs are held against each other as strings of one
-   hashed character a word, whose distance is never above the lines' own.
-5. The word-level edit distance of every pair that is left is verified on
-   the lines themselves.
-
-Null and empty texts stay as they are; rows that repeat an id are one
-document and fare alike; ids are integers (a row with a null id stays as
-it is); an empty table gives an empty result.  Other columns are carried
-in one struct, so their names cannot clash.
+2. Variants.  Cut a line into k + 1 segments, k the edits that its length
+   allows.  k edits touch k segments at most, so deleting some k of them
+   leaves a variant that the partner has too, with no more edits before it
+   than segments before it, and no more behind it than segments behind it.
+   A line emits its own variants as hashed keys and, for each length a
+   shorter partner may have, the few runs of its words that can be one of
+   the partner's variants.  This drops no pair.
+3. Equal keys.  Only keys that are a variant of one line and a run of
+   another go on, and only their lines are read again.
+4. Witnesses.  A line goes if any earlier line is near, so one is enough.
+   Every line of a key is held against the key's earliest line; lines that
+   have a witness leave the search and stay as witnesses for others.  A
+   line that is left is held against the key's lines in blocks of bounded
+   size, inside a projection that returns its earliest witness.  So no step
+   makes rows of pairs, and a family of near lines costs a row a line.
+5. Verification.  Lines are compared as strings of one hashed character a
+   word, whose distance is never above the lines' own; the word-level edit
+   distance to the witness is verified on the lines themselves.
+
+The unit is a row: rows that repeat an id with other text are documents of
+their own, in the order of a hash of their texts; rows that repeat id and
+text are alike and fare alike.  Null and empty texts stay as they are; ids
+are integers (a row with a null id stays as it is); an empty table gives
+an empty result.  Other columns are carried in one struct, so their names
+cannot clash.
 """
 
 from __future__ import annotations
@@ -35,22 +44,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.common import saved, text_of
+from tillscope.llm.vectors import with_groups
 
 #: a smaller table may be broadcast up to this many rows (about 24 bytes each); beyond, both sides are shuffled
 BROADCAST_ROWS = 1_000_000
-_PLACES = 10**10  # line numbers in one position
-
-
-def _position(doc_id: Column, line_no: Column) -> Column:
-    """(document, line) as one number in reading order."""
-    return doc_id.cast("decimal(20,0)") * F.lit(_PLACES).cast("decimal(11,0)") + line_no
+#: lines of a key that one comparison holds
+BLOCK = 256
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, line of every line that is not blank."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "_raw")).select(
-        "doc_id", "line_no", F.lower(F.trim("_raw")).alias("line")).where("line != '' and doc_id is not null").select(
-        "doc_id", "line_no", _position(F.col("doc_id"), F.col("line_no")).alias("pos"), "line")
+    """pos (document, text, line: in reading order) and line of every line that is not blank."""
+    return docs.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "_raw")).select(
+        F.struct("doc_id", "text_hash", "line_no").alias("pos"), F.lower(F.trim("_raw")).alias("line")).where("line != '' and pos.doc_id is not null")
 
 
 def _edits(n: Column, max_edits: int, words_per_edit: int) -> Column:
@@ -64,25 +69,29 @@ def _segment_words(n: Column, edits: Column) -> Column:
     return whole - F.pmod(whole, F.greatest(F.lit(1), F.floor(whole / 4).cast("int")))
 
 
-def _segments(min_words: int, max_edits: int, words_per_edit: int) -> tuple[Column, Column]:
-    """(key, own) of a line's segments (own) and of its runs of words that can be a segment of a shorter partner; and the
-    (edits, words in a segment) of each partner's length, to be held as ``partners``."""
+def with_keys(lines: DataFrame, min_words: int, max_edits: int, words_per_edit: int) -> DataFrame:
+    """``lines`` (n, hashes, ...) with ``own``, the keys of a line's variants, and ``runs``, those that a shorter partner's may equal.
+
+    Written out place by place, without lambdas, so that it is compiled.
+    """
     # a partner shorter by ``less``, its segment ``i``, which stands ``by`` words further on in this line, and the edits this takes
     places = [(less, i, by, i + abs(by - less)) for less in range(max_edits + 1) for i in range(max_edits + 1) for by in range(-i, i + 1)
               if i + abs(by - less) <= max_edits]
-    literal = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(("less", "i", "by", "need"), p)]) for p in places])
-    edits = [_edits(F.col("n") - less, max_edits, words_per_edit) for less in range(max_edits + 1)]
-    partner = F.array(*[F.struct(e.alias("k"), _segment_words(F.col("n") - less, e).alias("m")) for less, e in enumerate(edits)])
+    sized = lines.withColumns({f"_k{less}": _edits(F.col("n") - less, max_edits, words_per_edit) for less in range(max_edits + 1)})
+    sized = sized.withColumns({f"_m{less}": _segment_words(F.col("n") - less, F.col(f"_k{less}")) for less in range(max_edits + 1)})
 
-    def key(place: Column, c: Column) -> Column:
-        start = place["i"] * c["m"] + place["by"]
-        fits = (c["m"] > 0) & (place["need"] <= c["k"]) & (start >= 0) & (start + c["m"] <= F.col("n"))
-        own = (place["less"] == 0) & (place["by"] == 0)
-        return F.when(fits & (own | (F.col("n") >= min_words)), F.struct(
-            F.xxhash64(c["k"], place["i"], F.slice("hashes", F.greatest(start, F.lit(0)) + 1, F.greatest(c["m"], F.lit(0)))).alias("key"), own.alias("own")))
+    def key(less: int, i: int, by: int, need: int) -> Column:
+        k, m = F.col(f"_k{less}"), F.col(f"_m{less}")
+        start = m * i + by
+        fits = (m > 0) & (F.lit(need) <= k) & (start >= 0) & (start + m <= F.col("n"))
+        return F.when(fits, F.xxhash64(k, F.lit(i), F.slice("hashes", F.greatest(start, F.lit(0)) + 1, F.greatest(m, F.lit(0)))))
 
-    keys = F.array_distinct(F.array_compact(F.transform(literal, lambda p: key(p, F.element_at("partners", p["less"] + 1)))))
-    return F.when(F.col("n") >= min_words - max_edits, keys), partner
+    none = F.array().cast("array<bigint>")
+    own = F.array_compact(F.array(*[key(*p) for p in places if p[0] == 0 and p[2] == 0]))
+    runs = F.array_compact(F.array(*[key(*p) for p in places if p[0] != 0 or p[2] != 0]))
+    keyed = sized.withColumn("own", F.when(F.col("n") >= min_words - max_edits, own).otherwise(none))
+    keyed = keyed.withColumn("runs", F.when(F.col("n") >= min_words, F.array_except(runs, F.col("own"))).otherwise(none))
+    return keyed.drop("hashes", *[f"_{c}{less}" for c in "km" for less in range(max_edits + 1)])
 
 
 def _as_string(words: Column, code: Callable[[Column], Column]) -> Column:
@@ -104,51 +113,77 @@ def _within(a: Column, b: Column, edits: Column) -> Column:
     return F.call_function("levenshtein", a, b, edits) >= 0
 
 
-def near_lines(lines: DataFrame, docs: DataFrame, min_words: int, max_edits: int, words_per_edit: int) -> DataFrame:
-    """pos of the first occurrence of every line that an earlier line lies within the bound of."""
-    keyed = lines.where("keys is not null")
-    shared = saved(keyed.select("h1", F.inline("keys")).groupBy("key").agg(
-        F.min("h1").alias("_lo"), F.max("h1").alias("_hi"), F.max("own").alias("_own")).where("_lo != _hi and _own").select("key"), "shared-segments")
-    first = saved(keyed.select("h1", "h2", "pos", "n", F.inline("keys")).join(_small(shared), "key", "left_semi")
-                  .groupBy("h1", "h2", "n", "key").agg(F.min("pos").alias("pos"), F.max("own").alias("own")), "candidates")
-    lowest = first.groupBy("h1", "h2").agg(F.min("pos").alias("pos"))
-    texts = saved(_lines(docs).join(_small(saved(lowest.select("pos"), "candidate-lines")), "pos", "left_semi").dropDuplicates(["pos"]).select(
-        "pos", "line", F.size(F.split("line", " ")).alias("n"), _as_string(F.split("line", " "), _hashed).alias("chars")), "candidate-texts")
-    a = first.where("own").select("key", F.col("pos").alias("a"), F.col("n").alias("na"))
-    b = first.select("key", F.col("pos").alias("b"), F.col("n").alias("nb"))
-    bound = _edits(F.least("na", "nb"), max_edits, words_per_edit)
-    pairs = a.join(b, "key").where((F.col("a") != F.col("b")) & (F.greatest("na", "nb") >= min_words) & (F.abs(F.col("na") - F.col("nb")) <= bound)).select(
-        F.least("a", "b").alias("early"), F.greatest("a", "b").alias("pos"), bound.alias("bound")).distinct()
-    side = lambda pos, *cols: texts.select(F.col("pos").alias(pos), *[F.col(c).alias(f"{c}_{pos}") for c in cols])
-    likely = saved(pairs.join(side("pos", "chars"), "pos").join(side("early", "chars"), "early").where(
-        _within(F.col("chars_pos"), F.col("chars_early"), F.col("bound"))).select("early", "pos", "bound"), "line-pairs")
-    words = likely.join(side("pos", "line", "chars"), "pos").join(side("early", "line", "chars"), "early").select(
-        "pos", "bound", "chars_pos", "chars_early", F.split("line_pos", " ").alias("x"), F.split("line_early", " ").alias("y")).withColumn(
-        "known", F.array_distinct(F.concat("x", "y")))
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` (pos, early, bound) whose lines themselves are within the bound."""
+    side = lambda name: texts.select(F.col("pos").alias(name), F.split("line", " ").alias(f"words_{name}"), F.col("chars").alias(f"chars_{name}"))
+    words = pairs.join(side("pos"), "pos").join(side("early"), "early").withColumn("known", F.array_distinct(F.concat("words_pos", "words_early")))
     # distinct words with distinct hashes: the distance of the hashed strings is the lines' own; else number the words
     told_apart = F.size(F.array_distinct(F.transform("known", _hashed))) == F.size("known")
     numbered = lambda c: _as_string(F.col(c), lambda w: F.array_position(F.col("known"), w))
-    return words.where(F.when(told_apart, True).otherwise(_within(numbered("x"), numbered("y"), F.col("bound")))).select("pos").distinct()
+    return words.where(F.when(told_apart, True).otherwise(_within(numbered("words_pos"), numbered("words_early"), F.col("bound")))).select("pos", "early")
+
+
+def near_lines(lines: DataFrame, docs: DataFrame, min_words: int, max_edits: int, words_per_edit: int) -> DataFrame:
+    """pos of the first occurrence of every line that an earlier line lies within the bound of."""
+    every = lines.select("h1", "h2", "n", F.size("own").alias("_own"), F.posexplode(F.concat("own", "runs")).alias("_at", "key")).withColumn(
+        "own", F.col("_at") < F.col("_own"))
+    shared = saved(every.groupBy("key").agg(F.min("h1").alias("_lo"), F.max("h1").alias("_hi"), F.max("own").alias("_own")).where(
+        "_lo != _hi and _own").select("key"), "shared-variants")
+    keys = saved(every.join(_small(shared), "key", "left_semi").select("h1", "h2", "key").distinct(), "candidates")
+    names = saved(keys.select("h1", "h2").distinct(), "candidate-names")
+    lowest = saved(lines.join(_small(names), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min("pos").alias("pos")), "candidate-lines")
+    texts = saved(_lines(docs).join(_small(lowest), "pos").dropDuplicates(["h1", "h2"]).select(
+        "h1", "h2", "pos", "line", F.size(F.split("line", " ")).alias("words"), _as_string(F.split("line", " "), _hashed).alias("chars")), "candidate-texts")
+    members = saved(keys.join(texts.select("h1", "h2", "pos", "words", "chars"), ["h1", "h2"]).select(
+        F.col("key").cast("string").alias("key"), "pos", "words", "chars"), "members")
+
+    def bound(other: Column) -> Column:
+        return _edits(F.least(F.col("words"), other["words"]), max_edits, words_per_edit)
+
+    def alike(other: Column) -> Column:
+        """An earlier line, as ``other`` (pos, words, chars), looks near."""
+        return (other["pos"] < F.col("pos")) & (F.greatest(F.col("words"), other["words"]) >= min_words) & (
+            F.abs(F.col("words") - other["words"]) <= bound(other)) & _within(F.col("chars"), other["chars"], bound(other))
+
+    groups = saved(members.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("pos", "words", "chars"), "pos").alias("hub")).where("n > 1"), "hubs")
+    met = saved(with_groups(members, groups, "key", F.xxhash64("pos")).where("hub.pos < pos"), "met")
+    likely = met.where(alike(F.col("hub"))).groupBy("pos").agg(F.min(F.struct(F.col("hub.pos").alias("early"), bound(F.col("hub")).alias("bound"))).alias("_w"))
+    settled = saved(_verified(likely.select("pos", "_w.early", "_w.bound"), texts).select("pos"), "settled")
+    # what is left is held against all lines of its keys, block by block
+    left = saved(met.join(_small(settled), "pos", "left_anti").select("key", "pos", "words", "chars", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "left")
+    if left.isEmpty():
+        return settled
+    keys_left = _small(saved(left.select("key", "blocks").distinct(), "keys-left"))
+    block = F.pmod(F.xxhash64("pos"), F.col("blocks")).cast("int")
+    packed = members.join(keys_left, "key").groupBy("key", block.alias("block")).agg(F.collect_list(F.struct("pos", "words", "chars")).alias("others"))
+    asked = left.select("key", "pos", "words", "chars", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(packed, ["key", "block"])
+    witnesses = F.transform(F.filter("others", alike), lambda x: F.struct(x["pos"].alias("early"), bound(x).alias("bound")))
+    found = saved(asked.select("pos", witnesses.alias("witnesses")).where(F.size("witnesses") > 0), "witnesses")
+    best = found.groupBy("pos").agg(F.min(F.array_min("witnesses")).alias("_w")).select("pos", "_w.early", "_w.bound")
+    more = saved(_verified(best, texts).select("pos"), "settled")
+    # two words of one hash (one in a million) may have made a witness: such lines are verified against each
+    doubtful = saved(found.join(more, "pos", "left_anti").select("pos", F.inline("witnesses")).distinct(), "doubtful")
+    both = settled.unionByName(more)
+    return both if doubtful.isEmpty() else both.unionByName(_verified(doubtful, texts).select("pos").distinct())
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1,
                 words_per_edit: int = 5) -> DataFrame:
     """doc_id, n_lines, n_removed, text (without the lines that go), row (struct of all input columns)."""
-    keys, partners = _segments(min_words, max_edits, words_per_edit)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
-    hashed = _lines(rows).withColumn("hashes", F.transform(F.split("line", " "), lambda w: F.xxhash64(w))).withColumn("n", F.size("hashes"))
-    lines = saved(hashed.withColumn("partners", partners).select(
-        "doc_id", "line_no", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), "n",
-        keys.alias("keys")), "lines")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"),
+                       F.struct(*docs.columns).alias("row"))
+    hashed = _lines(rows).select("pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"),
+                                 F.transform(F.split("line", " "), lambda w: F.xxhash64(w)).alias("hashes")).withColumn("n", F.size("hashes"))
+    lines = saved(with_keys(hashed, min_words, max_edits, words_per_edit), "lines")
     near = saved(near_lines(lines, rows, min_words, max_edits, words_per_edit), "near-lines")
     first = saved(lines.groupBy("h1", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("_n")).join(
         near.select(F.col("pos").alias("first"), F.lit(True).alias("_near")), "first", "left").where("_n > 1 or _near").select(
         "h1", "h2", "first", F.coalesce("_near", F.lit(False)).alias("gone")), "repeated-lines")
-    removed = lines.select("doc_id", "line_no", "pos", "h1", "h2").join(first, ["h1", "h2"]).where("gone or pos != first").groupBy(
-        "doc_id").agg(F.collect_set("line_no").alias("_removed"))
+    removed = lines.select("pos", "h1", "h2").join(first, ["h1", "h2"]).where("gone or pos != first").groupBy("pos.doc_id", "pos.text_hash").agg(
+        F.collect_set("pos.line_no").alias("_removed"))
     parts = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
-    return rows.join(removed, "doc_id", "left").select(
+    return rows.join(removed, ["doc_id", "text_hash"], "left").select(
         "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).alias("n_removed"),
         F.when(F.col("_removed").isNull(), text_of("text")).otherwise(
