@@ -70,7 +70,7 @@ def _segment_words(n: Column, edits: Column) -> Column:
 
 
 def with_keys(lines: DataFrame, min_words: int, max_edits: int, words_per_edit: int) -> DataFrame:
-    """``lines`` (n, hashes, ...) with ``own``, the keys of a line's variants, and ``runs``, those that a shorter partner's may equal.
+    """``lines`` (n, parts: its words, ...) with ``own``, the keys of a line's variants, and ``runs``, those that a shorter partner's may equal.
 
     Written out place by place, without lambdas, so that it is compiled.
     """
@@ -84,14 +84,17 @@ def with_keys(lines: DataFrame, min_words: int, max_edits: int, words_per_edit:
         k, m = F.col(f"_k{less}"), F.col(f"_m{less}")
         start = m * i + by
         fits = (m > 0) & (F.lit(need) <= k) & (start >= 0) & (start + m <= F.col("n"))
-        return F.when(fits, F.xxhash64(k, F.lit(i), F.slice("hashes", F.greatest(start, F.lit(0)) + 1, F.greatest(m, F.lit(0)))))
+        for other, j, at, takes in places:  # partners of nearly one length often have one and the same run: once is enough
+            if (j, at) == (i, by) and other < less:
+                fits &= (F.col(f"_k{other}") != k) | (F.col(f"_m{other}") != m) | (F.lit(takes) > k)
+        return F.when(fits, F.xxhash64(k, F.lit(i), F.slice("parts", F.greatest(start, F.lit(0)) + 1, F.greatest(m, F.lit(0)))))
 
     none = F.array().cast("array<bigint>")
     own = F.array_compact(F.array(*[key(*p) for p in places if p[0] == 0 and p[2] == 0]))
     runs = F.array_compact(F.array(*[key(*p) for p in places if p[0] != 0 or p[2] != 0]))
     keyed = sized.withColumn("own", F.when(F.col("n") >= min_words - max_edits, own).otherwise(none))
     keyed = keyed.withColumn("runs", F.when(F.col("n") >= min_words, F.array_except(runs, F.col("own"))).otherwise(none))
-    return keyed.drop("hashes", *[f"_{c}{less}" for c in "km" for less in range(max_edits + 1)])
+    return keyed.drop("parts", *[f"_{c}{less}" for c in "km" for less in range(max_edits + 1)])
 
 
 def _as_string(words: Column, code: Callable[[Column], Column]) -> Column:
@@ -135,7 +138,7 @@ def near_lines(lines: DataFrame, docs: DataFrame, min_words: int, max_edits: int
     texts = saved(_lines(docs).join(_small(lowest), "pos").dropDuplicates(["h1", "h2"]).select(
         "h1", "h2", "pos", "line", F.size(F.split("line", " ")).alias("words"), _as_string(F.split("line", " "), _hashed).alias("chars")), "candidate-texts")
     members = saved(keys.join(texts.select("h1", "h2", "pos", "words", "chars"), ["h1", "h2"]).select(
-        F.col("key").cast("string").alias("key"), "pos", "words", "chars"), "members")
+        "key", "pos", "words", "chars"), "members")
 
     def bound(other: Column) -> Column:
         return _edits(F.least(F.col("words"), other["words"]), max_edits, words_per_edit)
@@ -173,17 +176,19 @@ def dedup_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"),
                        F.struct(*docs.columns).alias("row"))
     hashed = _lines(rows).select("pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"),
-                                 F.transform(F.split("line", " "), lambda w: F.xxhash64(w)).alias("hashes")).withColumn("n", F.size("hashes"))
+                                 F.split("line", " ").alias("parts")).withColumn("n", F.size("parts"))
     lines = saved(with_keys(hashed, min_words, max_edits, words_per_edit), "lines")
     near = saved(near_lines(lines, rows, min_words, max_edits, words_per_edit), "near-lines")
     first = saved(lines.groupBy("h1", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("_n")).join(
         near.select(F.col("pos").alias("first"), F.lit(True).alias("_near")), "first", "left").where("_n > 1 or _near").select(
         "h1", "h2", "first", F.coalesce("_near", F.lit(False)).alias("gone")), "repeated-lines")
-    removed = lines.select("pos", "h1", "h2").join(first, ["h1", "h2"]).where("gone or pos != first").groupBy("pos.doc_id", "pos.text_hash").agg(
-        F.collect_set("pos.line_no").alias("_removed"))
+    removed = saved(lines.select("pos", "h1", "h2").join(first, ["h1", "h2"]).where("gone or pos != first").groupBy("pos.doc_id", "pos.text_hash").agg(
+        F.collect_set("pos.line_no").alias("_removed")), "removed-lines")
+    # the lists are as long as the lines that go, and these are counted
+    n_removed = removed.agg(F.coalesce(F.sum(F.size("_removed")), F.lit(0)).alias("n")).first()["n"]
     parts = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
-    return rows.join(removed, ["doc_id", "text_hash"], "left").select(
+    return rows.join(F.broadcast(removed) if n_removed <= BROADCAST_ROWS else removed, ["doc_id", "text_hash"], "left").select(
         "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).alias("n_removed"),
         F.when(F.col("_removed").isNull(), text_of("text")).otherwise(

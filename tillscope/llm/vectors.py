@@ -45,8 +45,8 @@ def with_groups(rows: DataFrame, groups: DataFrame, key: str, spread: Column) ->
     else:
         least = size["n"] // HOT_GROUPS + 1
         hot = packed.where(F.col("n") >= least).select(key, F.col("_group").alias("_hot"))
-        cold = packed.where(F.col("n") < least).select(F.col(key).alias("_key"), F.col("_group").alias("_cold"))
+        cold = packed.where(F.col("n") < least).select(F.col(key).alias("_key"), F.col("_group").alias("_cold")).withColumn("_key", F.col("_key").cast("string"))
         placed = rows.join(F.broadcast(hot), key, "left").withColumn(
-            "_key", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.concat(F.lit("hot "), spread.cast("string"))))
+            "_key", F.when(F.col("_hot").isNull(), F.col(key).cast("string")).otherwise(F.concat(F.lit("hot "), spread.cast("string"))))
         joined = placed.join(cold, "_key", "left").withColumn("_group", F.coalesce("_hot", "_cold")).drop("_key", "_hot", "_cold")
     return joined.select(*rows.columns, *[F.col(f"_group.{c}").alias(c) for c in groups.columns if c != key])
