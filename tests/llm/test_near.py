@@ -67,6 +67,15 @@ def test_near_duplicates_awkward(spark):
     assert {(r.doc_id, r.component_id) for r in again} == {(2, 1), (None, 1)}
 
 
+def test_rows_that_repeat_an_id_with_other_text_keep_their_links(spark):
+    a, b = cases.prose(31, 60), cases.prose(32, 60)
+    rows = [(1, a), (1, b), (1, b), (5, a + " more"), (6, b + " more"), (7, cases.prose(33, 60)), (8, None)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(cases.table(spark, rows)).collect())
+    assert got == [(1, 1, True), (1, 1, True), (1, 1, True), (5, 1, False), (6, 1, False), (7, 7, True), (8, 8, True)]
+    first = sorted((r.row.doc_id, r.first) for r in minhash.near_rows(cases.table(spark, rows)).collect())
+    assert first == [(1, True), (1, True), (1, True), (5, False), (6, False), (7, True), (8, True)]
+
+
 def test_near_duplicates_families(spark):
     texts = family(11, 60, 9) + family(12, 40, 5) + [cases.prose(s, 100) for s in range(50, 80)]
     order = list(range(len(texts)))

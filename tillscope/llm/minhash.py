@@ -2,8 +2,10 @@
 
 1. Shingles.  A text becomes the set of 64-bit hashes of its distinct
    five-word shingles.  Documents with equal sets form a class and are
-   represented by the smallest id (a partial aggregate: a class of any
-   size crosses the shuffle as a few rows).
+   represented by the row with the smallest id (a partial aggregate: a
+   class of any size crosses the shuffle as a few rows).  Classes are
+   numbered; links and components are between these numbers, so rows that
+   repeat an id with other text are in classes of their own.
 2. Signatures.  Under each of ``PERMUTATIONS`` permutations both the
    smallest and the largest value are kept, so half the hash evaluations
    of plain MinHash give the same number of values.  Bands of two
@@ -25,18 +27,22 @@
    So no link between different components is lost, and no group of near
    copies is expanded into all its pairs.
 5. Confirmation.  A link counts if its two texts, whole, meet the
-   threshold in exact integer arithmetic on their shingle sets.
+   threshold in exact integer arithmetic on their shingle sets.  A text is
+   cut into its set once, whatever the number of its pairs, and the sets of
+   a pair meet in one row of a join, never in a batch of many.
 
 Null and empty texts and texts without words have no shingles and link
-with nothing; a text of one to four words is one shingle; repeated rows
-of one id are one document each, with the same component; ids are
-integers; ties go to the smallest id; an empty table
-gives an empty result; columns other than the id and the text are ignored.
+with nothing; a text of one to four words is one shingle; every row is a
+document of its own, also where it repeats an id, with or without its
+text; ids are integers; ties go to the smallest id, null ids last; an
+empty table gives an empty result; columns other than the id and the text
+are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -45,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import TEXTS_PER_STEP, map_arrow, map_texts, saved, steps, text_of
+from tillscope.llm.common import map_arrow, map_texts, saved, steps, text_of
 from tillscope.llm.components import components
 
 SHINGLE = 5
@@ -165,38 +171,39 @@ def looks_near(pairs: DataFrame, reps: DataFrame, least: float = LOOKS_NEAR) ->
     return map_arrow(both.select("a", "b", "ka", "kb"), task, f"a {kind}, b {kind}, near double")
 
 
-def wanted_texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """The documents of ``ids``; the ids are broadcast if their counted number allows it, else shuffled."""
-    ids = saved(ids, "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+class Texts(NamedTuple):
+    """The texts of numbered classes: ``docs`` (row, text) and ``classes`` (rep, row)."""
 
+    docs: DataFrame
+    classes: DataFrame
+
+    def of(self, reps: DataFrame) -> DataFrame:
+        """(rep, text) of ``reps`` (rep); their rows are broadcast if their counted number allows it, else shuffled."""
+        rows = saved(reps.join(self.classes, "rep").select("rep", "row"), "wanted-rows")
+        return self.docs.join(F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows, "row").select("rep", "text").dropDuplicates(["rep"])
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) whose whole texts meet the threshold: 100 * common >= 75 * union."""
-    pairs = saved(pairs.select("a", "b"), "pairs")
-    texts = wanted_texts(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), docs)
-    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").join(
-        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
 
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """rep, hashes (the whole set of a text)."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, x = None, None
-        for whole in batches:
-            for at in range(0, whole.num_rows, TEXTS_PER_STEP):
-                batch = whole.slice(at, TEXTS_PER_STEP)
-                keep = []
-                for a, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "ta", "tb"))):
-                    if a != last:
-                        last, x = a, shingles(ta)
-                    y = shingles(tb)
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * common >= 75 * (len(x) + len(y) - common))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for batch, some in steps(batches):
+            for i, text in enumerate(some):  # a set is several times its text: one at a time
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([shingles(text).view(np.int64)], pa.list_(pa.int64()))], ["doc_id", "hashes"])
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    return map_arrow(both.select("a", "b", "ta", "tb"), task, f"a {kind}, b {kind}")
+    return map_texts(texts, task, f"doc_id {dict(texts.dtypes)['rep']}, hashes array<bigint>", "rep", "text").withColumnRenamed("doc_id", "rep")
 
 
-def linked_in_clusters(members: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: Texts) -> DataFrame:
+    """``pairs`` (a, b) whose whole texts meet the threshold: 100 * common >= 75 * union."""
+    pairs = saved(pairs.select("a", "b"), "pairs")
+    sets = saved(shingle_sets(texts.of(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct())), "sets")
+    both = pairs.join(sets.select(F.col("rep").alias("b"), F.col("hashes").alias("y")), "b").join(
+        sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x")), "a")
+    common = both.select("a", "b", (F.size("x") + F.size("y")).cast("long").alias("all"), F.size(F.array_intersect("x", "y")).cast("long").alias("c"))
+    return common.where(100 * F.col("c") >= 75 * (F.col("all") - F.col("c"))).select("a", "b")
+
+
+def linked_in_clusters(members: DataFrame, texts: Texts) -> DataFrame:
     """Links (a, b) that join the components of each cluster; ``members``: rep, cluster, component, n_shingles, sketch."""
     sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"), F.count("*").alias("parts")).where(
@@ -210,7 +217,7 @@ def linked_in_clusters(members: DataFrame, docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.col("open") - 1))
     dealt = saved(placed.select("rep", "cluster", "component", "n_shingles", "sketch", "block", F.explode(others).alias("other")).select(
         "rep", "cluster", "component", "n_shingles", "sketch", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")), "blocks")
-    texts = wanted_texts(dealt.select(F.col("rep").alias("doc_id")).distinct(), docs)
+    wanted = texts.of(dealt.select("rep").distinct())
     kind = dict(members.dtypes)["rep"]
 
     def task(group: pd.DataFrame) -> pd.DataFrame:
@@ -235,11 +242,11 @@ def linked_in_clusters(members: DataFrame, docs: DataFrame) -> DataFrame:
                     root[root == root[j]] = root[i]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    rows = dealt.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    rows = dealt.join(wanted, "rep")
     return rows.groupBy("cluster", "lo", "hi").applyInPandas(task, f"a {kind}, b {kind}")
 
 
-def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
+def near_links(reps: DataFrame, texts: Texts) -> DataFrame:
     """(rep, component) of every representative that links with another; steps 3 and 4."""
     rows = reps.select("rep", F.explode("bands").alias("bucket"))
     flip = F.lit(HUB_ORDER).cast("long")
@@ -249,11 +256,11 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     stars = met.where("hub != rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     alike = saved(looks_near(stars, reps, LOOKS_ALIKE), "stars")
     best = Window.partitionBy("b").orderBy(F.desc("near"), "a")
-    first = saved(confirmed(alike.where(F.col("near") >= LOOKS_NEAR).withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= TRY_HUBS), docs), "links")
+    first = saved(confirmed(alike.where(F.col("near") >= LOOKS_NEAR).withColumn("_k", F.row_number().over(best)).where(F.col("_k") <= TRY_HUBS), texts), "links")
     label = lambda links, name: components(links).select(F.col("id").alias("rep"), F.col("component").alias(name))
     clusters = saved(label(alike, "cluster"), "clusters")
     members = clusters.join(label(first, "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    inside = saved(linked_in_clusters(saved(members.join(reps.select("rep", "n_shingles", "sketch"), "rep"), "members"), docs), "links")
+    inside = saved(linked_in_clusters(saved(members.join(reps.select("rep", "n_shingles", "sketch"), "rep"), "members"), texts), "links")
     # what a bucket still holds apart
     labelled = met.select("bucket", "rep").join(clusters, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
     apart = saved(labelled.groupBy("bucket").agg(F.min("cluster").alias("_lo"), F.max("cluster").alias("_hi")).where("_lo < _hi").select("bucket"), "apart")
@@ -262,19 +269,31 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     differ = sum((F.bit_count(F.element_at("ka", k + 1).bitwiseXOR(F.element_at("kb", k + 1))) for k in range(2 * PERMUTATIONS // 32)), F.lit(0))
     cross = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (
         F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 75) & (differ <= MAX_BITS)).select("a", "b").distinct()
-    rest = saved(confirmed(looks_near(cross, reps), docs), "links")
+    rest = saved(confirmed(looks_near(cross, reps), texts), "links")
     return components(first.unionByName(inside).unionByName(rest)).select(F.col("id").alias("rep"), "component")
 
 
+def near_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """row (no_id, doc_id, text_hash), n_shingles, component_id, first: one row per row of ``docs``; ``first`` is the row that stands for its component.
+
+    Equal rows have equal ``row``, so all of them are ``first`` or none.
+    """
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    docs = named.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash")).alias("row"), "text")
+    sigs = saved(signatures(docs, "row", "text").withColumnRenamed("doc_id", "row"), "signatures")
+    found = saved(sigs.where("set_id is not null").groupBy("set_id").agg(F.min("row").alias("row")), "sets-by-name")
+    classes = saved(found.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    reps = saved(sigs.join(classes, ["row", "set_id"]).dropDuplicates(["rep"]).select("rep", "n_shingles", "bands", "sketch", "bits"), "reps")
+    joined = near_links(reps, Texts(docs, classes.select("rep", "row")))
+    labelled = classes.join(joined, "rep", "left").select("set_id", "row", F.coalesce("component", "rep").alias("component"))
+    smallest = saved(labelled.groupBy("component").agg(F.min("row").alias("smallest")), "smallest")
+    groups = saved(labelled.join(smallest, "component").select("set_id", "smallest"), "groups")
+    return sigs.select("row", "n_shingles", "set_id").join(groups, "set_id", "left").select(
+        "row", "n_shingles", F.coalesce("smallest.doc_id", "row.doc_id").alias("component_id"),
+        (F.col("smallest").isNull() | (F.col("smallest") == F.col("row"))).alias("first"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable over links), kept (is that id)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    sigs = saved(signatures(docs), "signatures")
-    classes = saved(sigs.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = saved(sigs.where("set_id is not null").join(classes.select(F.col("rep").alias("doc_id"), "set_id"), ["doc_id", "set_id"], "left_semi")
-                 .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch", "bits"), "reps")
-    joined = near_links(reps, docs)
-    groups = saved(classes.join(joined, "rep", "left").select("set_id", F.coalesce("component", "rep").alias("_c")), "groups")
-    return sigs.select("doc_id", "n_shingles", "set_id").join(groups, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("_c", "doc_id").alias("component_id"),
-        F.coalesce(F.col("_c") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return near_rows(docs, id_col, text_col).select(
+        F.col("row.doc_id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("row.doc_id"), F.lit(True)).alias("kept"))
