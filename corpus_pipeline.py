@@ -10,12 +10,12 @@ a stage says otherwise.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm.common import saved, table
 from tillscope.llm.line_dedup import BROADCAST_ROWS, dedup_lines
-from tillscope.llm.minhash import near_duplicates
+from tillscope.llm.minhash import near_rows
 from tillscope.llm.packing import pack
 from tillscope.llm.quality_fm import keep_quality, train
 from tillscope.llm.queries import LINE_BOUND
@@ -36,15 +36,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id; of rows that repeat an id, the first by text."""
-    gone = saved(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "near-copies")
-    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = saved(docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
+    """One document of each group of near copies: the one with the smallest id; rows that repeat an id with other text are documents of their own."""
+    row = F.struct(F.col("doc_id").cast("long").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"),
+                   F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    placed = docs.select(F.struct(*docs.columns).alias("whole"), row.alias("row"))
+    gone = saved(near_rows(docs).where("not first").select("row").distinct(), "near-copies")
+    kept = placed.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "row", "left_anti")
+    repeated = saved(placed.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row"), "repeated-rows")
     if repeated.isEmpty():
-        return kept
-    first = Window.partitionBy("doc_id").orderBy("text")
-    once = kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").select(docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+        return kept.select("whole.*")
+    # rows that repeat id and text: one of them, the first by its other columns
+    once = kept.join(repeated, "row", "left_semi").groupBy("row").agg(F.min_by("whole", F.to_json("whole")).alias("whole"))
+    return kept.join(repeated, "row", "left_anti").select("whole.*").unionByName(once.select("whole.*"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
