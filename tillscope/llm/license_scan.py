@@ -9,18 +9,20 @@ DataFrame operations only.
    A block's class is the smallest power of two that holds it.  For every
    class the text has windows of twice the class, moving by the class, so
    a whole occurrence of a block always lies in one window.
-3. Only shingles that occur in some template of the class can add to a
-   containment, so a window is the set of those.  Windows without any
-   vanish; almost all text does.
+3. Only shingles that occur in some template can add to a containment, so
+   a join with the templates' shingles leaves the hits of each document,
+   and a window is the set of its hits.  Windows without any vanish;
+   almost all text does.
 4. Both sides are MinHashed, one value to a band.  A block met with
    ``threshold`` containment has a Jaccard of at least ``least_jaccard``
    with its window; ``bands_for`` gives the bands that leave a chance of
    1e-6 to miss it.
-5. Retrieved templates are verified: the share of the template's distinct
-   shingles that the document holds, in integers.
+5. Retrieved pairs of a document and a template are verified, and no
+   others: the share of the template's distinct shingles that the document
+   holds, in integers.
 
-Null and empty texts match nothing; repeated rows of one id are one
-document; a template met several times in a document is one row, from the
+Null and empty texts match nothing; rows of one id are one document, and so
+are the rows without an id, which keep their matches under a null id; a template met several times in a document is one row, from the
 first to the last word of its shingles; empty tables (documents or
 templates) give an empty result; columns other than the id and the text
 are ignored.
@@ -82,35 +84,46 @@ def _bands(bands: int) -> Column:
     return F.explode(F.array(*[F.xxhash64(F.lit(k), "size", f"m{k}") for k in range(bands)])).alias("band")
 
 
+def _hits(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, width, at, h: the places where a document holds a shingle of some template."""
+    def placed(width: int) -> Column:
+        return F.transform(_shingles(F.col("w"), width), lambda h, i: F.struct(F.lit(width).alias("width"), i.alias("at"), h.alias("h")))
+
+    words = docs.select("doc_id", _words(F.col("text")).alias("w"))
+    return words.select("doc_id", F.explode(F.concat(*map(placed, _widths(known)))).alias("x")).select("doc_id", "x.*").join(
+        known.select("width", "h").distinct(), ["width", "h"]).select("doc_id", "width", "at", "h").distinct()
+
+
+def _widths(known: DataFrame) -> list[int]:
+    """Widths of the templates' shingles, five at most; without templates one that meets nothing."""
+    return sorted(r["width"] for r in known.select("width").distinct().collect()) or [SHINGLE]
+
+
+def _same_document(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc_id"].eqNullSafe(b["doc_id"])
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: int = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, license, n_shared, n_shingles, containment, first_word, last_word (from 0) of every verified match."""
-    spark = docs.sparkSession
-    known = saved(template_shingles(spark, LICENSES if templates is None else templates), "templates")
-    vocabulary = [(r["width"], r["size"], r["h"]) for r in known.select("width", "size", "h").distinct().collect()]  # as long as the templates
+    known = saved(template_shingles(docs.sparkSession, LICENSES if templates is None else templates), "templates")
     bands = bands_for(least_jaccard(threshold))
-    words = docs.select(F.col(id_col).alias("doc_id"), _words(text_of(text_col)).alias("w"))
-    found = []
-    for width in sorted({w for w, _, _ in vocabulary}):
-        mine = [h for w, _, h in vocabulary if w == width]
-        hashes = _shingles(F.col("w"), width)
-        at = F.filter(F.transform(hashes, lambda h, i: F.when(h.isin(mine), F.struct(i.alias("at"), h.alias("h")))), lambda x: x.isNotNull())
-        found.append(F.transform(at, lambda x: F.struct(F.lit(width).alias("width"), x["at"].alias("at"), x["h"].alias("h"))))
-    if not found:
-        found = [F.array().cast("array<struct<width:int,at:int,h:bigint>>")]
-    hits = saved(words.select("doc_id", F.explode(F.concat(*found)).alias("x")).select("doc_id", "x.*").distinct(), "license-hits")
-
-    # windows of every class that the shingle belongs to
-    classes = known.select("h", "size").distinct()
+    hits = saved(_hits(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")), known), "license-hits")
+
+    # retrieval: windows of every class that the shingle belongs to, met with the templates' blocks by bands
+    classes = known.select("width", "h", "size").distinct()
     window = F.floor(F.col("at") / F.col("size"))
-    windows = hits.join(classes, "h").select("doc_id", "h", "size", F.explode(F.array(window - 1, window)).alias("window")).groupBy(
+    windows = hits.join(classes, ["width", "h"]).select("doc_id", "h", "size", F.explode(F.array(window - 1, window)).alias("window")).groupBy(
         "doc_id", "size", "window").agg(*_minima(bands)).select("doc_id", "size", _bands(bands)).select("doc_id", "band").distinct()
-    blocks = known.groupBy("license", "block", "size").agg(*_minima(bands)).select("license", _bands(bands))
-    retrieved = windows.join(blocks.distinct(), "band").select("doc_id", "license").distinct()
-
-    held = hits.join(known.select("license", "n_shingles", "width", "h"), ["width", "h"]).groupBy("doc_id", "license", "n_shingles").agg(
-        F.count_distinct("h").alias("n_shared"), F.min("at").alias("first_word"), (F.max("at") + F.max("width") - 1).alias("last_word"))
-    return held.where(F.col("n_shared") * 100 >= F.col("n_shingles") * threshold).join(retrieved, ["doc_id", "license"], "left_semi").select(
+    blocks = known.groupBy("license", "block", "size").agg(*_minima(bands)).select("license", _bands(bands)).distinct()
+    retrieved = saved(windows.join(blocks, "band").select("doc_id", "license").distinct(), "license-candidates")
+
+    # verification of the retrieved pairs; a document's hits are first reduced to one row a shingle
+    places = hits.groupBy("doc_id", "width", "h").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    held = retrieved.join(places, _same_document(retrieved, places)).select(retrieved["doc_id"], "license", "width", "h", "first", "last").join(
+        known.select("license", "n_shingles", "width", "h"), ["license", "width", "h"]).groupBy("doc_id", "license", "n_shingles").agg(
+        F.count("*").alias("n_shared"), F.min("first").alias("first_word"), (F.max("last") + F.max("width") - 1).alias("last_word"))
+    return held.where(F.col("n_shared") * 100 >= F.col("n_shingles") * threshold).select(
         "doc_id", "license", "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment"),
         F.col("first_word").cast("int").alias("first_word"), F.col("last_word").cast("int").alias("last_word"))
 
