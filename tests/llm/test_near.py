@@ -9,10 +9,11 @@ from collections import defaultdict
 from itertools import combinations
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm import cases
-from tillscope.llm import license_scan, line_dedup, minhash
+from tillscope.llm import license_scan, line_dedup, minhash, spotsigs
 from tillscope.llm.common import saved
 from tillscope.llm.components import components
 from tillscope.llm.line_dedup import dedup_lines
@@ -273,6 +274,56 @@ def test_fingerprints_of_texts_without_listed_anchors(spark):
     assert got[3] != got[4]
 
 
+def plain_signatures(text):
+    """The signatures as tuples of words, by plain Python over the words of a text."""
+    if not text:
+        return frozenset()
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    content = [(k, w) for k, w in enumerate(words) if w not in spotsigs.COMMON]
+    out, listed = set(), False
+    for start in [-1, *(k for k, w in enumerate(words) if w in spotsigs.ANCHORS)]:
+        after = [w for k, w in content if k > start][:spotsigs.CHAIN]
+        if len(after) == spotsigs.CHAIN:
+            out.add(("start" if start < 0 else words[start], *after))
+            listed |= start >= 0
+    bounds = [-1, *(k for k, w in enumerate(words) if w in spotsigs.ANCHORS), len(words)]
+    own = set()
+    for lo, hi in zip(bounds, bounds[1:]):
+        stretch = [w for k, w in content if lo < k < hi]
+        own |= {("own", *stretch[i:i + spotsigs.CHAIN + 1]) for i in range(spotsigs.LONELY, len(stretch) - spotsigs.CHAIN)
+                if xxhash.xxh64_intdigest(stretch[i].encode(), 42) % spotsigs.EVERY == 0}
+    return frozenset(out | own | (set() if listed or own else {("whole", text)}))
+
+
+def plain_likeness(a, b):
+    return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+
+def test_likeness_against_plain_python(spark):
+    r = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(60)] + ["the", "a", "und", "with", "in", "it"] * 2
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(n))) for i, n in enumerate([0, 1, 2, 3, 5, 12, 13, 14, 40, 200, 800] * 3)]
+    rows += [(100, " ".join(f"x{k}" for k in range(90))), (101, "the " + " ".join(f"x{k}" for k in range(90))), (102, "The, quick-brown; FOX " * 9)]
+    got = {s.doc_id: s for s in edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    order = sorted(rows, reverse=True)
+    for k, (i, t) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        edited = t[:len(t) - len(t) // 3] + after[:len(t) // 3]
+        mine = plain_signatures(t)
+        assert (got[i].n_signatures, got[i].near_edited, got[i].near_next) == (
+            len(mine), plain_likeness(mine, plain_signatures(edited)), plain_likeness(mine, plain_signatures(after))), (i, t)
+
+
+def test_one_more_character_keeps_the_fingerprint(spark):
+    """Texts with few anchors, at any length: one character more leaves a likeness of 0.9 at least."""
+    r = random.Random(11)
+    words = [("the " if k % 25 == 10 else "") + f"wort{r.randrange(10**5)}" for k in range(200)]
+    texts = [" ".join(words)[:n] for n in range(1190, 1212)]
+    got = [set(s.s) for s in with_signatures(spark.createDataFrame(list(enumerate(texts)), "i long, t string"), "t", "s").orderBy("i").collect()]
+    assert min(map(len, got)) > 15
+    assert all(len(a & b) >= 0.9 * len(a | b) for a, b in zip(got, got[1:]))
+
+
 def test_near_pairs_by_length(spark):
     r = random.Random(5)
     base = [sorted(r.sample(range(1000), n)) for n in (3, 20, 21, 40) for _ in range(4)]

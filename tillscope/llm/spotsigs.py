@@ -2,13 +2,16 @@
 
 A signature starts at a common word (an anchor) and chains the next
 ``CHAIN`` content words, leaving out common words between them.  The start
-of a text counts as an anchor too.  A text with fewer chains from common
-words than one in ``SPARSE`` characters (other languages, code, tables) also
-chains from content words of its own, one in ``EVERY``, chosen by a hash;
-the chosen word belongs to the signature.  A document's fingerprint is the
-set of its signature hashes, written as sorted hexadecimal; a text with no
-chain but that of its start also has its own hash as a signature, without
-any chain it has that one alone; the empty text has none.
+of a text counts as an anchor too.  Where a stretch without listed anchors
+goes on for more than ``LONELY`` content words (other languages, code,
+tables), the content words from there to the next anchor chain by
+themselves, one in ``EVERY``, chosen by a hash; the chosen word belongs to
+the signature.  This is decided from place to place, so a changed word
+changes the signatures around it and no others.  A document's fingerprint
+is the set of its signature hashes (64 bits), written as sorted
+hexadecimal; a text with no chain but that of its start also has its own
+hash as a signature, without any chain it has that one alone; the empty
+text has none.
 
 Sets are compared by Jaccard.  Two sets can only reach a likeness t if the
 smaller is at least t times the larger, so ``near_pairs`` deals sets out by
@@ -32,8 +35,8 @@ from pyspark.sql import functions as F
 from tillscope.llm.common import saved, text_of
 
 CHAIN = 2
-#: characters per chain from common words beyond which a text also chains from its own words, and one in how many of them
-SPARSE, EVERY = 150, 4
+#: content words behind an anchor beyond which words chain by themselves, and one in how many of them
+LONELY, EVERY = 10, 4
 
 # fixed values: frequent function words of English, German, French and Spanish; the first of each language are anchors
 ANCHORS = (
@@ -53,33 +56,42 @@ _SEP = r"[^\p{L}\p{N}]+"
 _WORD = r"[\p{L}\p{N}]+"
 _START = "\x02"  # stands for the start of a text
 _SKIP = rf"(?:{_SEP}(?:(?:{'|'.join(COMMON)}){_SEP})*+)"
+_ANCHOR = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(ANCHORS)})(?![\p{{L}}\p{{N}}])"
 _CHAINS = rf"(?<![\p{{L}}\p{{N}}])(?=((?:{_START}|{'|'.join(ANCHORS)})(?:{_SKIP}{_WORD}){{{CHAIN}}}))"
 
 #: documents in one ordered bucket, and splits on each of two levels
 PER_BUCKET, MAX_SPLITS = 500, 256
 
 
+def _own_chains(text: Column) -> Column:
+    """Signature hashes of the chains that stretches without listed anchors give by themselves."""
+    long_enough = lambda s: F.char_length(s) > 2 * (LONELY + CHAIN)  # noqa: E731 a word and its separator have two characters at least
+    stretches = F.filter(F.split(text, _ANCHOR), long_enough)
+    content = F.transform(stretches, lambda s: F.filter(F.split(s, _SEP), lambda w: (w != "") & ~w.isin(COMMON)))
+
+    def chains(words: Column) -> Column:
+        runs = F.transform(F.slice(words, LONELY + 1, F.greatest(F.size(words) - (LONELY + CHAIN), F.lit(0))),
+                           lambda w, i: F.struct(w.alias("w"), F.slice(words, i + (LONELY + 1), CHAIN + 1).alias("run")))
+        return F.transform(F.filter(runs, lambda r: F.pmod(F.xxhash64(r["w"]), F.lit(EVERY)) == 0), lambda r: F.xxhash64(F.lit("own"), r["run"]))
+
+    return F.flatten(F.transform(content, chains))
+
+
 def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the sorted distinct signature hashes of the column ``text`` as ``out``."""
+    none = F.array().cast("array<bigint>")
     chains = F.regexp_extract_all(F.concat(F.lit(f"{_START} "), F.lower(text)), F.lit(_CHAINS), F.lit(1))
-    chained = df.withColumn(out, chains).withColumn("_listed", F.size(F.filter(out, lambda s: ~s.startswith(_START))))
-    sparse = F.col("_listed") * SPARSE < F.char_length(text)
-    content = F.filter(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)), lambda w: ~w.isin(COMMON))
-    chained = chained.withColumn("_content", F.when(sparse, content).otherwise(F.array().cast("array<string>")))
-    # every content word with the CHAIN words behind it
-    runs = F.arrays_zip("_content", *[F.slice("_content", k + 1, F.size("_content")) for k in range(1, CHAIN + 1)])
-    own = F.filter(runs, lambda r: r[str(CHAIN)].isNotNull() & (F.pmod(F.xxhash64(r["_content"]), F.lit(EVERY)) == 0))
-    own = F.transform(own, lambda r: F.hash(F.lit("own"), r["_content"], *[r[str(k)] for k in range(1, CHAIN + 1)]))
-    hashed = chained.withColumn("_own", own).withColumn(out, F.transform(out, lambda s: F.hash(F.regexp_replace(s, _SKIP, " "))))
-    whole = F.when((F.col("_listed") == 0) & (F.size("_own") == 0), F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
-    return hashed.withColumn(out, F.when(F.col(text) == "", F.array().cast("array<int>")).otherwise(
-        F.sort_array(F.array_distinct(F.concat(out, "_own", whole))))).drop("_listed", "_content", "_own")
+    chained = df.withColumn(out, chains).withColumn("_own", _own_chains(F.lower(text)))
+    listed = F.exists(out, lambda s: ~s.startswith(_START))
+    whole = F.when(listed | (F.size("_own") > 0), none).otherwise(F.array(F.xxhash64(text)))
+    hashed = F.transform(out, lambda s: F.xxhash64(F.regexp_replace(s, _SKIP, " ")))
+    return chained.withColumn(out, F.when(F.col(text) == "", none).otherwise(
+        F.sort_array(F.array_distinct(F.concat(hashed, "_own", whole))))).drop("_own")
 
 
 def fingerprint(signatures: Column | str) -> Column:
-    """The set as text: eight hexadecimal digits for each signature, in ascending order."""
-    wide = lambda h: h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-    return F.array_join(F.transform(signatures, lambda h: F.lower(F.lpad(F.hex(wide(h)), 8, "0"))), "")
+    """The set as text: sixteen hexadecimal digits for each signature, in the order of the signed numbers."""
+    return F.array_join(F.transform(signatures, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
 def likeness(a: str, b: str, floor: float = 0.0) -> Column:
