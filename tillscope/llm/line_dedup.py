@@ -70,9 +70,9 @@ def _segment_words(n: Column, edits: Column) -> Column:
 
 
 def with_keys(lines: DataFrame, min_words: int, max_edits: int, words_per_edit: int) -> DataFrame:
-    """``lines`` (n, parts: its words, ...) with ``own``, the keys of a line's variants, and ``runs``, those that a shorter partner's may equal.
+    """``lines`` (n, parts: the hashes of its words, ...) with ``own``, the keys of a line's variants, and ``runs``, those that a shorter partner's may equal.
 
-    Written out place by place, without lambdas, so that it is compiled.
+    Written out place by place and without lambdas (``array_compact`` is one), so that it is compiled.
     """
     # a partner shorter by ``less``, its segment ``i``, which stands ``by`` words further on in this line, and the edits this takes
     places = [(less, i, by, i + abs(by - less)) for less in range(max_edits + 1) for i in range(max_edits + 1) for by in range(-i, i + 1)
@@ -89,11 +89,11 @@ def with_keys(lines: DataFrame, min_words: int, max_edits: int, words_per_edit:
                 fits &= (F.col(f"_k{other}") != k) | (F.col(f"_m{other}") != m) | (F.lit(takes) > k)
         return F.when(fits, F.xxhash64(k, F.lit(i), F.slice("parts", F.greatest(start, F.lit(0)) + 1, F.greatest(m, F.lit(0)))))
 
-    none = F.array().cast("array<bigint>")
-    own = F.array_compact(F.array(*[key(*p) for p in places if p[0] == 0 and p[2] == 0]))
-    runs = F.array_compact(F.array(*[key(*p) for p in places if p[0] != 0 or p[2] != 0]))
+    none, no_key = F.array().cast("array<bigint>"), F.array(F.lit(None).cast("bigint"))
+    own = F.array_except(F.array(*[key(*p) for p in places if p[0] == 0 and p[2] == 0]), no_key)
     keyed = sized.withColumn("own", F.when(F.col("n") >= min_words - max_edits, own).otherwise(none))
-    keyed = keyed.withColumn("runs", F.when(F.col("n") >= min_words, F.array_except(runs, F.col("own"))).otherwise(none))
+    runs = F.array_except(F.array(*[key(*p) for p in places if p[0] != 0 or p[2] != 0]), F.concat("own", no_key))
+    keyed = keyed.withColumn("runs", F.when(F.col("n") >= min_words, runs).otherwise(none))
     return keyed.drop("parts", *[f"_{c}{less}" for c in "km" for less in range(max_edits + 1)])
 
 
@@ -176,7 +176,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"),
                        F.struct(*docs.columns).alias("row"))
     hashed = _lines(rows).select("pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"),
-                                 F.split("line", " ").alias("parts")).withColumn("n", F.size("parts"))
+                                 F.transform(F.split("line", " "), lambda w: F.xxhash64(w)).alias("parts")).withColumn("n", F.size("parts"))
     lines = saved(with_keys(hashed, min_words, max_edits, words_per_edit), "lines")
     near = saved(near_lines(lines, rows, min_words, max_edits, words_per_edit), "near-lines")
     first = saved(lines.groupBy("h1", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("_n")).join(
