@@ -186,10 +186,11 @@ def dedup_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", tex
         F.collect_set("pos.line_no").alias("_removed")), "removed-lines")
     # the lists are as long as the lines that go, and these are counted
     n_removed = removed.agg(F.coalesce(F.sum(F.size("_removed")), F.lit(0)).alias("n")).first()["n"]
-    parts = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
-    return rows.join(F.broadcast(removed) if n_removed <= BROADCAST_ROWS else removed, ["doc_id", "text_hash"], "left").select(
-        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).alias("n_lines"),
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), F.col("_removed"))
+    whole = rows.join(F.broadcast(removed) if n_removed <= BROADCAST_ROWS else removed, ["doc_id", "text_hash"], "left")
+    # split once, in a column of its own: inside the lambda a text would be split again for each line that stays
+    return whole.withColumn("_parts", F.split("text", "\n")).select(
+        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size("_parts")).alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).alias("n_removed"),
         F.when(F.col("_removed").isNull(), text_of("text")).otherwise(
-            F.array_join(F.transform(stay, lambda i: F.element_at(parts, i + 1)), "\n")).alias("text"), "row")
+            F.array_join(F.transform(stay, lambda i: F.element_at("_parts", i + 1)), "\n")).alias("text"), "row")
