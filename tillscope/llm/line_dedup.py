@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from tillscope.llm.common import saved, text_of
 from tillscope.llm.vectors import with_groups
 
-#: a smaller table may be broadcast up to this many rows (about 24 bytes each); beyond, both sides are shuffled
+#: a smaller table may be broadcast up to this many rows (some tens of bytes each); beyond, both sides are shuffled
 BROADCAST_ROWS = 1_000_000
 #: lines of a key that one comparison holds
 BLOCK = 256
@@ -182,7 +182,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", tex
     first = saved(lines.groupBy("h1", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("_n")).join(
         near.select(F.col("pos").alias("first"), F.lit(True).alias("_near")), "first", "left").where("_n > 1 or _near").select(
         "h1", "h2", "first", F.coalesce("_near", F.lit(False)).alias("gone")), "repeated-lines")
-    removed = saved(lines.select("pos", "h1", "h2").join(first, ["h1", "h2"]).where("gone or pos != first").groupBy("pos.doc_id", "pos.text_hash").agg(
+    removed = saved(lines.select("pos", "h1", "h2").join(_small(first), ["h1", "h2"]).where("gone or pos != first").groupBy("pos.doc_id", "pos.text_hash").agg(
         F.collect_set("pos.line_no").alias("_removed")), "removed-lines")
     # the lists are as long as the lines that go, and these are counted
     n_removed = removed.agg(F.coalesce(F.sum(F.size("_removed")), F.lit(0)).alias("n")).first()["n"]
