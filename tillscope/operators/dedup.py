@@ -62,11 +62,19 @@ def dedup_latest_counted(df: DataFrame, keys: Sequence[str], latest_by: Sequence
     a lost executor is not counted twice, as it would be by a metric below
     the shuffle.  The partial aggregate keeps one row and one count per key
     and task, so a hot key (NULL ids) crosses the shuffle as one row a task.
-    ``latest_by`` holds instants, dates or whole numbers.
+    The kept row is the least of structs that begin with the order, so a
+    column that decides is sorted and moved once, not in an order and in a
+    row.  ``latest_by`` holds instants, dates or whole numbers.
     """
     others = [c for c in df.columns if c not in keys]
     rest = list(tiebreak) or [c for c in others if c not in latest_by]
-    order = F.struct(*[_falling(df, c).alias(f"l{i}") for i, c in enumerate(latest_by)],
-                     *[x for i, c in enumerate(rest) for x in (F.col(c).isNull().alias(f"n{i}"), _orderable(df, c).alias(f"t{i}"))])
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("_best"), F.count(F.lit(1)).alias(COPIES))
-    return best.select(*[c if c in keys else F.col(f"_best.`{c}`").alias(c) for c in df.columns], COPIES)
+    order = [_falling(df, c).alias(f"l{i}") for i, c in enumerate(latest_by)]
+    order += [x for i, c in enumerate(rest) for x in (F.col(c).isNull().alias(f"n{i}"), _orderable(df, c).alias(f"t{i}"))]
+    place = {c: f"c{i}" for i, c in enumerate(others) if c not in rest} | {c: f"t{i}" for i, c in enumerate(rest)}
+    if any("map<" in df.schema[c].dataType.simpleString() for c in others):  # such a column has no order, so no struct of it has
+        place = {c: f"c{i}" for i, c in enumerate(others)}
+        kept = F.min_by(F.struct(*[F.col(c).alias(place[c]) for c in others]), F.struct(*order))
+    else:
+        kept = F.min(F.struct(*order, *[F.col(c).alias(place[c]) for c in others if c not in rest]))
+    best = df.groupBy(*keys).agg(kept.alias("_best"), F.count(F.lit(1)).alias(COPIES))
+    return best.select(*[c if c in keys else F.col(f"_best.{place[c]}").alias(c) for c in df.columns], COPIES)

@@ -16,7 +16,7 @@ the one as of a version, a run or an instant, ``silver_history`` lists them.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,20 +41,27 @@ def clock_column(clock: _dt.datetime | Column | None) -> Column:
 
 
 def silver_flagged(bronze: DataFrame, clock: _dt.datetime | Column | None = None,
-                   tiebreak: Sequence[str] = (), counted: bool = False) -> DataFrame:
+                   tiebreak: Sequence[str] = (), counted: bool = False, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Dedup + clean + rule cascade + audit flag, before the valid/reject split.
 
     Columns: ``SILVER_COLUMNS`` + expected_total, rejection_reason, is_valid
     (+ ``copies`` with ``counted``: the Bronze rows that each row stands for).
     Of equal ingest times the later topic position wins, where Bronze has it.
+    With ``derive``, ``bronze`` holds narrower rows (with the columns that
+    keep-latest orders by) of which ``derive`` makes Bronze, row by row: only
+    the narrow rows are moved, only the kept ones are derived from.
     The rules judge the amounts as they came; money is narrowed to
     DECIMAL(18, 4) afterwards, so an amount that does not fit is rejected,
     never nulled and accepted.
     """
     latest_by = ["ingested_at", *[c for c in S.POSITION_COLUMNS if c in bronze.columns]]
+    if tiebreak and derive is None:  # columns that neither decide nor go on
+        bronze = bronze.drop(*[c for c in bronze.columns if c in ("audit_flag", "data_layer") or c not in S.SILVER_COLUMNS and c not in (*latest_by, *tiebreak)])
     latest = (dedup_latest_counted if counted else dedup_latest)(bronze, ["transaction_id"], latest_by, tiebreak)
+    if derive is not None:
+        latest = derive(latest)
     ts = F.col("transaction_ts")
-    if dict(bronze.dtypes).get("transaction_ts") == "string":
+    if dict(latest.dtypes).get("transaction_ts") == "string":
         ts = F.try_to_timestamp(ts)
     cleaned = latest.withColumns(
         {
@@ -96,9 +103,9 @@ def _class_counts(flagged: DataFrame) -> DataFrame:
     )
 
 
-def silver_run_summary(bronze: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+def silver_run_summary(bronze: DataFrame, tiebreak: Sequence[str] = (), derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row: bronze_read, duplicates_removed, valid, rejected, from one Bronze scan and one shuffle of its rows."""
-    return _class_counts(silver_flagged(bronze, tiebreak=tiebreak, counted=True))
+    return _class_counts(silver_flagged(bronze, tiebreak=tiebreak, counted=True, derive=derive))
 
 
 def read_silver(spark: SparkSession, silver_path: str, version: int | None = None, run: str | None = None,
@@ -122,13 +129,14 @@ def silver_history(spark: SparkSession, silver_path: str) -> DataFrame:
 
 
 def write_silver(bronze: DataFrame, silver_folder: str, rejects_folder: str, clock: _dt.datetime | None = None,
-                 tiebreak: Sequence[str] = (), storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
+                 tiebreak: Sequence[str] = (), storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+                 derive: Callable[[DataFrame], DataFrame] | None = None) -> dict:
     """Write Silver (partitioned by date) and Rejects into new folders from one Bronze scan; nothing for empty input.
 
     Returns the run summary (bronze_read, duplicates_removed, valid, rejected).
     """
     clock = clock or _dt.datetime.now(_dt.timezone.utc)
-    flagged = silver_flagged(bronze, clock=clock, tiebreak=tiebreak, counted=True).persist(storage)
+    flagged = silver_flagged(bronze, clock=clock, tiebreak=tiebreak, counted=True, derive=derive).persist(storage)
     try:
         # the one Bronze scan: materialise the flagged frame and count its classes
         counts = {k: int(v) for k, v in _class_counts(flagged).first().asDict().items()}
@@ -144,7 +152,7 @@ def write_silver(bronze: DataFrame, silver_folder: str, rejects_folder: str, clo
 
 def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects_path: str,
                clock: _dt.datetime | None = None, tiebreak: Sequence[str] = (),
-               storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
+               storage: StorageLevel = StorageLevel.MEMORY_AND_DISK, derive: Callable[[DataFrame], DataFrame] | None = None) -> dict:
     """Write Silver and Rejects from one Bronze scan and publish both with one row.
 
     Returns the run summary (bronze_read, duplicates_removed, valid,
@@ -152,7 +160,7 @@ def run_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, rejects
     that fails, also between the two writes, leaves both tables as they were.
     """
     run = new_run()
-    counts = write_silver(bronze, run_folder(silver_path, run), run_folder(rejects_path, run), clock, tiebreak, storage)
+    counts = write_silver(bronze, run_folder(silver_path, run), run_folder(rejects_path, run), clock, tiebreak, storage, derive)
     if counts["bronze_read"]:
         ledger = ledger_of(spark, silver_path)
         join_ledger(spark, ledger, [silver_path, rejects_path])

@@ -26,7 +26,7 @@ from tillscope.session import scratch_path
 from tillscope.sources.bronze import read_bronze, write_bronze_batch
 from tillscope.sources.csv_export import export_csv, read_csv_export
 from tillscope.sources.messages import decode_messages, encode_messages
-from tillscope.sources.posview import POS_TIEBREAK, pos_view, read_table
+from tillscope.sources.posview import POS_TIEBREAK, pos_bronze, pos_rows, pos_view, read_table
 from tillscope.sources.versions import read_version, version_counts, version_history, write_version
 from tillscope.streaming.ingest import admission_counts, enrich, file_message_source, ingest, start_ingest
 
@@ -83,7 +83,7 @@ def _bronze(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _flagged(spark: SparkSession, d: str) -> DataFrame:
-    return silver_flagged(_bronze(spark, d), tiebreak=POS_TIEBREAK)
+    return silver_flagged(pos_rows(spark, d), tiebreak=POS_TIEBREAK, derive=pos_bronze)
 
 
 def _silver(spark: SparkSession, d: str) -> DataFrame:
@@ -209,7 +209,7 @@ def q_silver_rejects(spark, d):
 
 
 def q_silver_run_summary(spark, d):
-    return silver_run_summary(_bronze(spark, d), tiebreak=POS_TIEBREAK)
+    return silver_run_summary(pos_rows(spark, d), tiebreak=POS_TIEBREAK, derive=pos_bronze)
 
 
 # ---------------------------------------------------------------- profiles and checks
@@ -359,9 +359,9 @@ def q_snapshot_version_counts(spark, d):
 def _silver_runs(spark, d) -> str:
     """Two published runs of the Silver job: Bronze up to the split year, then all of it."""
     root = scratch_path(spark, "silver-runs")
-    bronze = _bronze(spark, d)
-    for rows in (bronze.filter(F.coalesce(F.col("year") <= SNAPSHOT_SPLIT_YEAR, F.lit(True))), bronze):
-        run_silver(spark, rows, f"{root}/silver", f"{root}/rejects", clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK)
+    bronze = pos_rows(spark, d)
+    for rows in (bronze.filter(F.coalesce(F.year("transaction_ts") <= SNAPSHOT_SPLIT_YEAR, F.lit(True))), bronze):
+        run_silver(spark, rows, f"{root}/silver", f"{root}/rejects", clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK, derive=pos_bronze)
     return f"{root}/silver"
 
 
@@ -377,7 +377,7 @@ def q_silver_history(spark, d):
 def q_gold_by_name(spark, d):
     """The daily fact by its catalog name, of the newest published run of the chain; its stores checked against the Silver view's."""
     root, prefix = scratch_path(spark, "named"), f"t{uuid.uuid4().hex[:8]}_"
-    run_pipeline(spark, _bronze(spark, d), root, clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK)
+    run_pipeline(spark, pos_rows(spark, d), root, clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK, derive=pos_bronze)
     publish_views(spark, root, prefix)
     stores = declared_source(spark, f"{prefix}silver").select("store_id").distinct()
     return spark.table(f"{prefix}fct_daily_sales").join(stores, "store_id", "left_semi")
@@ -391,8 +391,8 @@ def q_csv_export_roundtrip(spark, d):
 
 
 def q_audit_chain_summary(spark, d):
-    return run_pipeline(spark, _bronze(spark, d), scratch_path(spark, "pipeline"),
-                        clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK)
+    return run_pipeline(spark, pos_rows(spark, d), scratch_path(spark, "pipeline"),
+                        clock=_dt.datetime.now(_dt.timezone.utc), tiebreak=POS_TIEBREAK, derive=pos_bronze)
 
 
 _QUERIES: dict[str, Query] = {

@@ -16,7 +16,7 @@ published run, one statement a view.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,11 +92,11 @@ def run_gold(spark: SparkSession, silver: DataFrame, gold_path: str, strict: boo
 
 def run_pipeline(spark: SparkSession, bronze: DataFrame, out_dir: str,
                  clock: _dt.datetime | None = None, tiebreak: Sequence[str] = (),
-                 strict: bool = False) -> DataFrame:
+                 strict: bool = False, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run the chain into ``out_dir`` (silver, rejects, quality_report, gold), published together; returns the one-row run summary."""
     out, run = out_dir.rstrip("/"), new_run()
     folder = {name: run_folder(f"{out}/{name}", run) for name in ("silver", "rejects", REPORT, "gold")}
-    counts = write_silver(bronze, folder["silver"], folder["rejects"], clock, tiebreak)
+    counts = write_silver(bronze, folder["silver"], folder["rejects"], clock, tiebreak, derive=derive)
     if counts["bronze_read"] == 0:
         return spark.createDataFrame([(0,) * 9], SUMMARY_SCHEMA)
 
