@@ -322,12 +322,12 @@ def _tests_of(test_type: str | None) -> Query:
 
 # ---------------------------------------------------------------- snapshots and export
 def _versions(spark, d, upto: int) -> tuple[str, DataFrame]:
-    """v0 overwrite (years up to the split), v1 append (the rest), v2 overwrite (all rows again); Silver is computed once."""
+    """v0 overwrite (years up to the split), v1 append (the rest), v2 overwrite (all rows again); Silver is computed and clustered once."""
     path = scratch_path(spark, "versions")
-    silver = _written(_silver(spark, d), "silver")
+    silver = _written(_silver(spark, d).hint("rebalance", *SNAPSHOT_PARTITIONS), "silver")
     early = F.coalesce(F.col("year") <= SNAPSHOT_SPLIT_YEAR, F.lit(True))
     for rows, mode in [(silver.filter(early), "overwrite"), (silver.filter(~early), "append"), (silver, "overwrite")][:upto + 1]:
-        write_version(rows, path, mode=mode, partition_by=SNAPSHOT_PARTITIONS)
+        write_version(rows, path, mode=mode, partition_by=SNAPSHOT_PARTITIONS, clustered=True)
     return path, silver
 
 

@@ -60,15 +60,18 @@ def _newest(spark: SparkSession, path: str, upto: int | None = None, at: _dt.dat
 
 def write_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """The data of one attempt, into a folder that must not exist."""
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
 
 
-def write_version(df: DataFrame, path: str, mode: str = APPEND, partition_by: Sequence[str] = (), token: str | None = None) -> int:
+def write_version(df: DataFrame, path: str, mode: str = APPEND, partition_by: Sequence[str] = (), token: str | None = None,
+                  clustered: bool = False) -> int:
     """Write ``df`` as the next version and publish it; returns the newest version's number.
 
     Appending no rows to a table adds no version.  With ``token``, a write
-    that was published under it before is not repeated.
+    that was published under it before is not repeated.  Rows are shuffled
+    by ``partition_by``, so that a folder gets few files; with ``clustered``
+    they lie together already (as in files that were written so) and are
+    written from where they are.
     """
     if mode not in (APPEND, OVERWRITE):
         raise ValueError("mode must be 'append' or 'overwrite'")
@@ -82,7 +85,7 @@ def write_version(df: DataFrame, path: str, mode: str = APPEND, partition_by: Se
     base = newest["base"] if newest and mode == APPEND else version
     write = uuid.uuid4().hex
     files = f"{path}/base={base}/version={version}/write={write}"
-    write_files(df, files, partition_by)
+    write_files(df.hint("rebalance", *partition_by) if partition_by and not clustered else df, files, partition_by)
     n_rows = spark.read.schema(df.schema).parquet(files).count()
     if n_rows == 0:
         if mode == OVERWRITE or newest is None:
