@@ -1,6 +1,7 @@
 """What the chain moves: narrow rows through keep-latest, rows clustered once for several versions, no constants through the stream's shuffle."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,12 @@ from tests.test_rules import T0, _bronze
 from tillscope import schema as S
 from tillscope.operators.dedup import dedup_latest, dedup_latest_counted
 from tillscope.operators.silver import read_silver, run_silver, silver_flagged, silver_run_summary
+from tillscope.sources import versions
+from tillscope.sources.bronze import read_bronze
 from tillscope.sources.posview import POS_TIEBREAK, pos_bronze, pos_rows, pos_view
+from tillscope.sources.versions import read_version, write_version
+from tillscope.streaming import ingest as stream
+from tillscope.streaming.ingest import OPEN_FOLDERS, admission_counts, drain, file_message_source, ingest
 
 LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
 
@@ -25,6 +31,11 @@ def _source(spark, path):
     return path
 
 
+def _message(tid, total):
+    return json.dumps({"transaction_id": tid, "store_id": "NL-001", "quantity": 1, "unit_price": total, "total_amount": total,
+                       "transaction_ts": f"199{len(tid or '')}-05-06T01:02:03.000004"}).encode()
+
+
 def _rows(df):
     return sorted(map(str, df.drop("silver_processed_at").collect()))
 
@@ -71,3 +82,65 @@ def test_counted_keep_latest_holds_deciding_columns_once_and_takes_maps(spark):
     got = dedup_latest_counted(mapped, ["transaction_id"], ["ingested_at"])
     assert got.columns == [*mapped.columns, "copies"] and got.agg(F.sum("copies")).first()[0] == 60
     assert sorted(map(str, got.drop("copies").collect())) == sorted(map(str, dedup_latest(mapped, ["transaction_id"], ["ingested_at"]).collect()))
+
+
+def test_clustered_versions_are_written_without_a_shuffle(spark, scratch, monkeypatch):
+    seen, whole = [], versions.write_files
+
+    def watched(df, path, partition_by=()):
+        seen.append("RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString())
+        whole(df, path, partition_by)
+
+    monkeypatch.setattr(versions, "write_files", watched)
+    spark.range(60).select("id", (F.col("id") % 3).alias("year")).union(spark.createDataFrame([(99, None)], "id long, year long")).write.parquet(f"{scratch}/rows")
+    rows = spark.read.parquet(f"{scratch}/rows")
+    for clustered in (True, False):
+        path = f"{scratch}/versions-{clustered}"
+        assert write_version(rows.where("id < 30"), path, mode="overwrite", partition_by=["year"], clustered=clustered) == 0
+        assert write_version(rows.where("id >= 30"), path, partition_by=["year"], clustered=clustered) == 1
+        assert sorted(r.id for r in read_version(spark, path, rows.schema).collect()) == [*range(60), 99]
+        assert sorted(r.id for r in read_version(spark, path, rows.schema, 0).collect()) == [*range(30)]
+    assert seen == [False, False, True, True]
+
+
+def test_snapshots_cluster_silver_once(spark, scratch, monkeypatch):
+    from tillscope.plans import catalog
+
+    plans, whole = [], versions.write_files
+
+    def watched(df, path, partition_by=()):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        whole(df, path, partition_by)
+
+    monkeypatch.setattr(versions, "write_files", watched)
+    d = _source(spark, f"{scratch}/sf")
+    # Silver with rows before and after the split year
+    silver = spark.range(9).select(*[(1994 + F.col("id") % 3 if f.name == "year" else F.lit(None)).cast(f.dataType).alias(f.name) for f in S.SILVER_SCHEMA.fields])
+    monkeypatch.setattr(catalog, "_silver", lambda spark, d: silver)
+    assert catalog.q_snapshot_read_latest(spark, d).count() == 9 and catalog.q_snapshot_read_version(spark, d).count() == 6
+    assert len(plans) == 6 and not any("RebalancePartitions" in p for p in plans)
+
+
+def test_stream_moves_no_lineage_and_few_folders_are_not_sorted(spark, scratch, monkeypatch):
+    values = [_message(f"t{i}" if i % 5 else None, 1.0) for i in range(40)] + [b"garbage"]
+    raw = spark.createDataFrame([("k".encode(), v, T0 + dt.timedelta(days=400 * (i % 3))) for i, v in enumerate(values)], S.RAW_MESSAGE_SCHEMA)
+    raw.repartition(3).write.parquet(f"{scratch}/topic")
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, during, start = spark.conf.get(setting, None), [], stream.start_ingest
+
+    def watched(*args, **options):
+        during.append(spark.conf.get(setting, None))
+        return start(*args, **options)
+
+    monkeypatch.setattr(stream, "start_ingest", watched)
+    q = drain(file_message_source(spark, f"{scratch}/topic"), f"{scratch}/bronze", f"{scratch}/ckpt", partition_by=["year"], cluster_by_partition=2)
+    assert spark.conf.get(setting, None) == before
+    (counts,) = admission_counts(q)
+    assert (counts["n_read"], counts["n_admitted"], counts["n_dropped"]) == (41, 32, 9)
+    rows = read_bronze(spark, f"{scratch}/bronze")
+    assert rows.count() == 32 and rows.where("data_layer = 'BRONZE' and pipeline_name is not null and ingested_at is not null").count() == 32
+    want = ingest(spark.read.parquet(f"{scratch}/topic")).drop("ingested_at")
+    assert sorted(map(str, rows.drop("ingested_at").collect())) == sorted(map(str, want.collect()))
+    plan = q._jsq.explainInternal(False)
+    above, dealt = plan.split("Initial Plan")[0].split("Exchange hashpartitioning(")
+    assert S.PIPELINE_NAME in above and S.PIPELINE_NAME not in dealt and during == [str(OPEN_FOLDERS)]

@@ -28,7 +28,7 @@ from tillscope.sources.csv_export import export_csv, read_csv_export
 from tillscope.sources.messages import decode_messages, encode_messages
 from tillscope.sources.posview import POS_TIEBREAK, pos_bronze, pos_rows, pos_view, read_table
 from tillscope.sources.versions import read_version, version_counts, version_history, write_version
-from tillscope.streaming.ingest import admission_counts, enrich, file_message_source, ingest, start_ingest
+from tillscope.streaming.ingest import admission_counts, drain, enrich, file_message_source, ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,9 +158,7 @@ def q_bronze_admission_counts(spark, d):
     """Messages read, admitted and dropped, as observed in the micro-batches of a stream."""
     root = scratch_path(spark, "stream-counts")
     _messages(spark, d).write.parquet(f"{root}/topic")
-    q = start_ingest(file_message_source(spark, f"{root}/topic"), f"{root}/bronze", f"{root}/_checkpoint", trigger={"availableNow": True},
-                     partition_by=["year"], cluster_by_partition=2)
-    q.awaitTermination()
+    q = drain(file_message_source(spark, f"{root}/topic"), f"{root}/bronze", f"{root}/_checkpoint", partition_by=["year"], cluster_by_partition=2)
     rows = [(c["n_read"], c["n_admitted"], c["n_dropped"]) for c in admission_counts(q)]
     return spark.createDataFrame(rows, "n_read bigint, n_admitted bigint, n_dropped bigint").groupBy().sum().toDF("n_read", "n_admitted", "n_dropped")
 

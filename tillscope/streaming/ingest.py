@@ -24,6 +24,7 @@ while it runs; ``admission_counts`` reads it from the query's progress.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from tillscope.sources.messages import decode_messages, has_position
 
 CLUSTER_BUCKETS = 8
 TRIGGER_INTERVAL = "30 seconds"
+#: folders a task writes side by side; only beyond them are its rows sorted by folder first
+OPEN_FOLDERS = 4
 ADMISSION = "admission"  # name of the observed metrics
 
 
@@ -68,14 +71,18 @@ def _clock(clock: _dt.datetime | Column | None) -> Column:
     return F.lit(clock).cast("timestamp")
 
 
-def enrich(decoded: DataFrame, clock: _dt.datetime | Column | None = None) -> DataFrame:
-    """Event time parsed (NULL on bad text), date partitions and lineage columns."""
-    ts = F.try_to_timestamp(F.col("transaction_ts"))
-    return decoded.withColumn("transaction_ts", ts).withColumns(
+#: the date partitions, of a parsed event time
+EVENT_DATE = {"year": F.year, "month": F.month, "day": F.dayofmonth}
+
+
+def _event_time(decoded: DataFrame) -> DataFrame:
+    return decoded.withColumn("transaction_ts", F.try_to_timestamp(F.col("transaction_ts")))
+
+
+def _lineage(rows: DataFrame, clock: _dt.datetime | Column | None) -> DataFrame:
+    return rows.withColumns(
         {
-            "year": F.year("transaction_ts"),
-            "month": F.month("transaction_ts"),
-            "day": F.dayofmonth("transaction_ts"),
+            **{name: part("transaction_ts") for name, part in EVENT_DATE.items()},
             "ingested_at": _clock(clock),
             "pipeline_name": F.lit(S.PIPELINE_NAME),
             "source_system": F.lit(S.SOURCE_SYSTEM),
@@ -84,6 +91,11 @@ def enrich(decoded: DataFrame, clock: _dt.datetime | Column | None = None) -> Da
     )
 
 
+def enrich(decoded: DataFrame, clock: _dt.datetime | Column | None = None) -> DataFrame:
+    """Event time parsed (NULL on bad text), date partitions and lineage columns."""
+    return _lineage(_event_time(decoded), clock)
+
+
 def is_admitted() -> Column:
     return F.col("transaction_id").isNotNull() & F.col("store_id").isNotNull() & F.col("total_amount").isNotNull()
 
@@ -93,15 +105,19 @@ def admit(df: DataFrame) -> DataFrame:
     return df.filter(is_admitted())
 
 
-def ingest(raw: DataFrame, clock: _dt.datetime | Column | None = None, observed: str | None = None) -> DataFrame:
+def ingest(raw: DataFrame, clock: _dt.datetime | Column | None = None, observed: str | None = None,
+           deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Raw messages → admitted Bronze rows in ``BRONZE_COLUMNS`` order (batch or stream), then the topic position if there is one.
 
     With ``observed``, messages read and admitted are observed under that name.
+    ``deal`` moves the admitted rows before the columns that follow from
+    them, or are the same in all rows, join them.
     """
-    rows = enrich(decode_messages(raw), clock)
+    rows = _event_time(decode_messages(raw))
     if observed:
         rows = rows.observe(observed, F.count(F.lit(1)).alias("n_read"), F.count_if(is_admitted()).alias("n_admitted"))
-    return admit(rows).select(*S.BRONZE_COLUMNS, *(S.POSITION_COLUMNS if has_position(raw) else []))
+    rows = deal(admit(rows)) if deal else admit(rows)
+    return _lineage(rows, clock).select(*S.BRONZE_COLUMNS, *(S.POSITION_COLUMNS if has_position(raw) else []))
 
 
 def admission_counts(query: StreamingQuery) -> list[dict[str, int]]:
@@ -136,10 +152,13 @@ def start_ingest(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str,
     tasks should write; 0 writes from every task into every folder it meets.
     """
     partition_by = partition_by or S.BRONZE_PARTITION_COLUMNS
-    bronze = ingest(raw_stream, observed=ADMISSION)
-    if cluster_by_partition:
+
+    def deal(rows: DataFrame) -> DataFrame:
         salt = F.pmod(F.xxhash64("transaction_id", "kafka_received_at"), F.lit(int(cluster_by_partition)))
-        bronze = bronze.repartition(*[F.col(c) for c in partition_by], salt)
+        places = [EVENT_DATE[c]("transaction_ts") if c in EVENT_DATE else F.col(c) for c in partition_by if c in EVENT_DATE or c in rows.columns]
+        return rows.repartition(*places, salt)
+
+    bronze = ingest(raw_stream, observed=ADMISSION, deal=deal if cluster_by_partition else None)
     writer = (bronze.writeStream.format("parquet").outputMode("append")
               .option("path", bronze_path)
               .option("checkpointLocation", checkpoint_path)
@@ -148,3 +167,24 @@ def start_ingest(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str,
     if query_name:
         writer = writer.queryName(query_name)
     return writer.start()
+
+
+def drain(raw_stream: DataFrame, bronze_path: str, checkpoint_path: str, partition_by: list[str], **options) -> StreamingQuery:
+    """``start_ingest`` over all there is, until it is written, into few folders.
+
+    A task's share of few folders is large, and to sort it by folder spills.
+    So tasks write up to ``OPEN_FOLDERS`` folders side by side (Spark sorts
+    what is beyond them); the session's own setting comes back afterwards.
+    """
+    conf, setting = raw_stream.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(setting, None)
+    conf.set(setting, OPEN_FOLDERS)
+    try:
+        query = start_ingest(raw_stream, bronze_path, checkpoint_path, trigger={"availableNow": True}, partition_by=partition_by, **options)
+        query.awaitTermination()
+        return query
+    finally:
+        if before is None:
+            conf.unset(setting)
+        else:
+            conf.set(setting, before)
