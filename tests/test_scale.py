@@ -144,3 +144,9 @@ def test_stream_moves_no_lineage_and_few_folders_are_not_sorted(spark, scratch,
     plan = q._jsq.explainInternal(False)
     above, dealt = plan.split("Initial Plan")[0].split("Exchange hashpartitioning(")
     assert S.PIPELINE_NAME in above and S.PIPELINE_NAME not in dealt and during == [str(OPEN_FOLDERS)]
+
+
+def test_orders_join_last_so_that_copies_of_an_id_meet_before_the_shuffle(spark, scratch):
+    plan = pos_rows(spark, _source(spark, f"{scratch}/sf"))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join Inner" in x]
+    assert len(joins) == 2 and "l_orderkey" in joins[0] and "l_partkey" in joins[1]

@@ -75,8 +75,9 @@ def pos_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_orderdate", "o_orderpriority")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
 
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-        part, li.l_partkey == part.p_partkey)
+    # the price first: it is narrower to move on than an order's date and priority
+    j = li.join(part, li.l_partkey == part.p_partkey).join(
+        orders, li.l_orderkey == orders.o_orderkey)
     txn_id = F.when(F.col("l_orderkey") % NULL_ID_EVERY_ORDERKEY == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("T-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     )
