@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # a test counts what its own executions scanned: a whole suite's stay listed (1,000 by default)
+        .config("spark.sql.ui.retainedExecutions", "20000")
         .config("spark.driver.memory", os.environ.get("TILLSCOPE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
