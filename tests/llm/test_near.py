@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -217,6 +218,31 @@ def test_blocks_find_every_witness(spark, monkeypatch):
     check_lines(spark, rows)
 
 
+def test_line_keys_are_not_written_and_are_moved_as_two_numbers(spark, monkeypatch):
+    """A line of 40 words has some 20 keys: what is written of it holds none, and each is moved with one number."""
+    steps, rows = {}, [(i, "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(40)) for j in range(20))) for i in range(100)]
+
+    def sized(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        out = saved(df, name)
+        steps[name] = (sum(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles()), plan)
+        return out
+
+    monkeypatch.setattr(line_dedup, "saved", sized)
+    assert dedup_lines(cases.table(spark, rows), **LINE_BOUND).where("n_removed > 0").isEmpty()
+    assert steps["lines"][0] < 60 * 2000
+    keys = line_dedup.with_keys(spark.sql("select 1L h1, 'a b c d e' line"), spark.sql("select 5 n"), 4, 4, 5)
+    assert keys.dtypes == [("key", "bigint"), ("name", "bigint")]
+    assert steps["candidates"][1].count("Window") == 1 and "Join LeftSemi" not in steps["candidates"][1]
+
+
+def test_copies_below_the_hot_ones_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 1)
+    base = cases.prose(5, 12)
+    rows = [(i, base + "\n" + base.replace(" ", f" x{i % 3} ", 1)) for i in range(30)]
+    check_lines(spark, rows)
+
+
 def test_licenses_against_duckdb(spark, tmp_path):
     import duckdb
     rows = cases.awkward() + [(None, "All rights reserved."), (None, None)] + [(100 + k, cases.prose(k, 30) + "\n" + t.replace("free", "FREE!") + " " + cases.prose(k, 30))
